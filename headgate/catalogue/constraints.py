@@ -213,9 +213,9 @@ def _(spark, sd):
 
 @query("g3_resume_traversal", f"{REACHED_SQL} SELECT entity, key, group_id, depth FROM nodes")
 def _(spark, sd):
-    edges, state = shop_edges(spark, sd), workspace(spark, "traverse")
-    traverse(edges, regions_as_roots(spark, sd), 1, state)
-    return resume_traversal(edges, state, 1, 4)
+    state = workspace(spark, "traverse")
+    traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 1, state)
+    return resume_traversal(spark, state, 1, 4)
 
 
 @query(

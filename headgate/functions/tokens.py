@@ -25,8 +25,10 @@ MAX_AGE_SECONDS = 24 * 60 * 60
 
 
 def rfc3339(ts: Column) -> Column:
-    """UTC text of a zone-less timestamp with microseconds."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """UTC text of a zone-less timestamp with microseconds; the session zone plays no part."""
+    text = ts.cast("string")
+    fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), fraction, F.lit("Z"))
 
 
 def from_rfc3339(text: Column) -> Column:
@@ -35,14 +37,22 @@ def from_rfc3339(text: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
+def replaced(text: Column, *pairs: tuple[str, str]) -> Column:
+    """Several plain replacements; many times faster than `translate` on long text."""
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def url_base64(text: Column) -> Column:
-    # `base64` may break lines; characters without a counterpart are dropped.
-    return F.translate(F.base64(F.encode(text, "UTF-8")), "+/\r\n", "-_")
+    # `base64` breaks lines unless configured otherwise.
+    return replaced(F.base64(F.encode(text, "UTF-8")), ("\r\n", ""), ("+", "-"), ("/", "_"))
 
 
 def un_url_base64(token: Column) -> Column:
-    """Decoded text; NULL when the token is no base64."""
-    return F.decode(F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64")), "UTF-8")
+    """Decoded text; NULL when the token is no base64 or holds no text."""
+    standard = replaced(token, ("-", "+"), ("_", "/"))
+    return F.try_validate_utf8(F.try_to_binary(standard, F.lit("base64")).cast("string"))
 
 
 def encode_token(kind: Column, position: Column, created: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.fitting import resized, text_as
+
 MICROS_PER_DAY = 86_400_000_000
 
 # The characters that count as white space around a field.
@@ -93,12 +95,12 @@ def blank_to_null(c: Column) -> Column:
 
 def resize_integer(c: Column, to: str) -> Column:
     """Widen or narrow an integer; a value out of range becomes NULL."""
-    return c.try_cast(to)
+    return resized(c, to)
 
 
 def lenient_number(c: Column, to: str = "int", default_zero: bool = False) -> Column:
     """Trimmed text as a number; text that is no number becomes NULL, or 0 on request."""
-    parsed = trim_space(c).try_cast(to)
+    parsed = text_as(trim_space(c), to)
     return F.coalesce(parsed, F.lit(0).cast(to)) if default_zero else parsed
 
 

@@ -13,18 +13,24 @@ from pyspark.sql import functions as F
 
 from headgate.session import workspace
 
-NODE_SCHEMA = "entity STRING, key STRING, group_id STRING, depth INT"
+LEVEL_SCHEMA = "entity STRING, key STRING, group_id STRING"
+NODE_SCHEMA = f"{LEVEL_SCHEMA}, depth INT"
+EDGE_SCHEMA = "src_key STRING, dst_entity STRING, dst_key STRING, src_entity STRING"
 
 
 def _visited(spark: SparkSession, state: str, depth: int) -> DataFrame:
-    return spark.read.schema(NODE_SCHEMA).parquet(state).where(F.col("depth") <= depth)
+    return spark.read.schema(NODE_SCHEMA).parquet(f"{state}/nodes").where(F.col("depth") <= depth)
 
 
-def _write_level(nodes: DataFrame, state: str, depth: int) -> bool:
-    """Write one level; whether it has any node."""
-    path = f"{state}/depth={depth}"
+def _write_level(nodes: DataFrame, state: str, depth: int) -> list[str]:
+    """Write one level; the names of the tables it has nodes of, none when it is empty."""
+    path = f"{state}/nodes/depth={depth}"
     nodes.select("entity", "key", "group_id").write.mode("overwrite").parquet(path)
-    return not nodes.sparkSession.read.schema("entity STRING, key STRING, group_id STRING").parquet(path).isEmpty()
+    return _entities(nodes.sparkSession.read.schema(LEVEL_SCHEMA).parquet(path))
+
+
+def _entities(nodes: DataFrame) -> list[str]:
+    return [r[0] for r in nodes.select("entity").distinct().collect()]
 
 
 def traverse(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, state: str | None = None) -> DataFrame:
@@ -32,30 +38,36 @@ def traverse(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, s
 
     `roots` has `entity, key, group_id`. A node that several groups reach at the same depth
     belongs to the smallest group id. Without `max_depth` it runs until a level is empty.
+
+    The edges are written once, by table they lead from: deriving them again for every level
+    would repeat their scans and their deduplication, and a level reads only the tables its
+    frontier is in.
     """
-    state = state or workspace(edges.sparkSession, "traverse")
+    spark = edges.sparkSession
+    state = state or workspace(spark, "traverse")
+    edges.write.mode("overwrite").partitionBy("src_entity").parquet(f"{state}/edges")
     start = roots.groupBy("entity", "key").agg(F.min("group_id").alias("group_id"))
     _write_level(start, state, 0)
-    return resume_traversal(edges, state, 0, max_depth)
+    return resume_traversal(spark, state, 0, max_depth)
 
 
-def resume_traversal(edges: DataFrame, state: str, depth: int, max_depth: int | None = None) -> DataFrame:
+def resume_traversal(spark: SparkSession, state: str, depth: int, max_depth: int | None = None) -> DataFrame:
     """Go on from level `depth` of a saved state; the result is that of one uninterrupted run."""
-    spark = edges.sparkSession
-    while max_depth is None or depth < max_depth:
+    edges = spark.read.schema(EDGE_SCHEMA).parquet(f"{state}/edges")
+    at = _entities(_visited(spark, state, depth).where(F.col("depth") == depth))
+    while at and (max_depth is None or depth < max_depth):
         visited = _visited(spark, state, depth)
         frontier = visited.where(F.col("depth") == depth).select(
             F.col("entity").alias("src_entity"), F.col("key").alias("src_key"), "group_id"
         )
         reached = (
-            frontier.join(edges, ["src_entity", "src_key"])
+            frontier.join(edges.where(F.col("src_entity").isin(at)), ["src_entity", "src_key"])
             .groupBy(F.col("dst_entity").alias("entity"), F.col("dst_key").alias("key"))
             .agg(F.min("group_id").alias("group_id"))
         )
         fresh = reached.join(visited.select("entity", "key"), ["entity", "key"], "left_anti")
         depth += 1
-        if not _write_level(fresh, state, depth):
-            break
+        at = _write_level(fresh, state, depth)
     return _visited(spark, state, depth)
 
 

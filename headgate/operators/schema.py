@@ -9,23 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.fitting import fitted, json_value_as
 from headgate.functions.typenames import field_type, struct_from_json_schema
 
 
-def has_cast(dtype: T.DataType, to: str) -> bool:
-    """Whether values of the one type can become values of the other at all."""
-    target = T.DataType.fromDDL(to)
-    families = (T.NumericType, T.BooleanType), (T.DateType, T.TimestampType, T.TimestampNTZType), (T.BinaryType,)
-    if isinstance(dtype, T.StringType) or isinstance(target, T.StringType) or dtype == target:
-        return True
-    return any(isinstance(dtype, f) and isinstance(target, f) for f in families)
-
-
-def fitted(c: Column, dtype: T.DataType, to: str) -> Column:
-    """The value as another type; NULL when it does not fit."""
-    return c.try_cast(to) if has_cast(dtype, to) else F.lit(None).cast(to)
-
-
 def apply_schema(df: DataFrame, fields: dict[str, str], resolve: Callable[[str], str] = field_type) -> DataFrame:
     """Select and cast to declared types, in declared order.
 
@@ -47,10 +34,9 @@ def dynamic_to_typed(df: DataFrame, source: str, fields: dict[str, str]) -> Data
     any value can become text.
     """
     parsed = df.withColumn("_row", F.try_parse_json(F.col(source)))
-    typed = [
-        F.try_variant_get(F.col("_row"), f"$.{name}", field_type(t)).alias(name) for name, t in fields.items()
-    ]
-    return parsed.select(*[c for c in df.columns if c != source], *typed)
+    others = [c for c in df.columns if c != source]
+    texts = parsed.select(*others, *[F.try_variant_get("_row", f"$.{name}", "string").alias(name) for name in fields])
+    return texts.select(*others, *[json_value_as(F.col(name), field_type(t)).alias(name) for name, t in fields.items()])
 
 
 def typed_to_dynamic(df: DataFrame, name: str = "row") -> DataFrame:

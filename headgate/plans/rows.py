@@ -17,6 +17,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,35 +103,44 @@ def bucket_count(rows: int, parallelism: int) -> int:
 def plan_rows(df: DataFrame, keys: str | list[str], buckets: int | None = None) -> RowPlan:
     """Cut points and bucket positions of `df` in key order.
 
-    The driver receives at most `MAX_BUCKETS * SAMPLE_PER_BUCKET` sampled keys and one count per
-    bucket, whatever the size of the table.
+    The driver receives one key and one count per bucket, whatever the size of the table.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     types = key_types(df, keys)
     narrow = df.select(*keys)
-    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    total, nulls = narrow.agg(F.count(F.lit(1)), F.count_if(missing)).first()
-    if nulls:
-        raise ValueError(f"{nulls} rows have no value in {keys}; row positions need a complete key")
-
+    total = narrow.count()
     n = bucket_count(total, df.sparkSession.sparkContext.defaultParallelism) if buckets is None else buckets
-    if n <= 1 or total <= n:
-        return RowPlan(keys, types, [], [0], total)
-
-    sampled = narrow.sample(min(1.0, n * SAMPLE_PER_BUCKET / total), SAMPLE_SEED)
-    keys_sorted = [tuple(r) for r in sampled.orderBy(*keys).select(*key_text(keys)).collect()]
-    picks = [keys_sorted[i * len(keys_sorted) // n] for i in range(1, n)] if keys_sorted else []
-    cuts = list(dict.fromkeys(picks))
-    if len(set(keys_sorted)) < len(keys_sorted):
-        raise ValueError(f"{keys} repeats; row positions need a tie-breaker")
+    cuts = _sample_cuts(narrow, keys, n, total) if 1 < n < total else []
 
-    bucket = count_cuts_at_or_below(keys, types, cuts)
-    counts = dict(narrow.groupBy(bucket.alias("b")).count().collect())
-    starts, at = [], 0
-    for b in range(len(cuts) + 1):
-        starts.append(at)
-        at += counts.get(b, 0)
-    return RowPlan(keys, types, cuts, starts, total)
+    # Keys-only pass; the rows are counted again so that all positions come from one reading.
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    bucket = count_cuts_at_or_below(keys, types, cuts).alias("b")
+    per_bucket = narrow.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("nulls")).collect()
+    if any(r["nulls"] for r in per_bucket):
+        raise ValueError(f"rows without a value in {keys}; row positions need a complete key")
+    counts = {r["b"]: r["n"] for r in per_bucket}
+    sizes = [counts.get(b, 0) for b in range(len(cuts) + 1)]
+    return RowPlan(keys, types, cuts, list(accumulate(sizes, initial=0))[:-1], sum(sizes))
+
+
+def _sample_cuts(narrow: DataFrame, keys: list[str], n: int, total: int) -> list[tuple[str, ...]]:
+    """`n - 1` keys that cut the table into about equal parts; only they reach the driver."""
+    sampled = narrow.dropna().sample(min(1.0, n * SAMPLE_PER_BUCKET / total), SAMPLE_SEED)
+    # The sample is one array of about n * SAMPLE_PER_BUCKET keys, however large the table is.
+    ordered = sampled.agg(F.array_sort(F.collect_list(F.struct(*keys))).alias("s"), F.count(F.lit(1)).alias("n"))
+    size = F.col("n").cast("int")
+    rank = F.sequence(F.lit(1), F.lit(n - 1))
+    picks = F.transform(rank, lambda i: F.get(F.col("s"), (i.cast("bigint") * size / F.lit(n)).cast("int")))
+    repeats = F.exists(F.sequence(F.lit(1), size - 1), lambda i: F.get(F.col("s"), i) == F.get(F.col("s"), i - 1))
+    found = ordered.select(
+        "n",
+        F.when(size > 1, repeats).otherwise(F.lit(False)).alias("repeats"),
+        F.when(size >= n, picks).otherwise(F.col("s")).alias("cuts"),
+    ).select("repeats", F.transform("cuts", lambda c: F.struct(*[c[k].cast("string").alias(k) for k in keys])).alias("cuts"))
+    row = found.first()
+    if row["repeats"]:
+        raise ValueError(f"{keys} repeats; row positions need a tie-breaker")
+    return [tuple(c) for c in row["cuts"]]
 
 
 def page(df: DataFrame, keys: str | list[str], offset: str | int | None = None, limit: int = 10_000) -> DataFrame:

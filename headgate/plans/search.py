@@ -16,6 +16,10 @@ ORDERABLE = (
 )
 
 
+# Below this many cuts the search is a tree of comparisons, which Spark compiles.
+SMALL = 48
+
+
 def key_types(df: DataFrame, keys: list[str]) -> list[T.DataType]:
     types = [df.schema[k].dataType for k in keys]
     for key, dtype in zip(keys, types):
@@ -32,8 +36,8 @@ def key_text(keys: list[str]) -> list[Column]:
     return [F.col(k).cast("string").alias(k) for k in keys]
 
 
-def key_literal(values: tuple[str, ...], types: list[T.DataType], keys: list[str]) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(values, types, keys)])
+def key_literals(values: tuple[str, ...], types: list[T.DataType]) -> list[Column]:
+    return [F.lit(v).cast(t) for v, t in zip(values, types)]
 
 
 def literal_longs(values: list[int]) -> Column:
@@ -41,10 +45,28 @@ def literal_longs(values: list[int]) -> Column:
     return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
 
 
+def _at_or_above(keys: list[str], bound: list[Column]) -> Column:
+    """`keys >= bound` by plain column comparisons."""
+    c, b = F.col(keys[0]), bound[0]
+    if len(keys) == 1:
+        return c >= b
+    return (c > b) | ((c == b) & _at_or_above(keys[1:], bound[1:]))
+
+
+def _search_tree(keys: list[str], bounds: list[list[Column]], lo: int, hi: int) -> Column:
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(_at_or_above(keys, bounds[mid]), _search_tree(keys, bounds, mid + 1, hi)).otherwise(
+        _search_tree(keys, bounds, lo, mid)
+    )
+
+
 def count_cuts_at_or_below(keys: list[str], types: list[T.DataType], cuts: list[tuple[str, ...]]) -> Column:
     """How many of the sorted `cuts` are <= the row's key: the row's bucket number."""
-    if not cuts:
-        return F.lit(0)
+    if len(cuts) < SMALL:
+        bounds = [key_literals(cut, types) for cut in cuts]
+        return _search_tree(keys, bounds, 0, len(cuts))
     as_text = T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in keys]))
     typed = T.ArrayType(T.StructType([T.StructField(k, t) for k, t in zip(keys, types)]))
     body = json.dumps([dict(zip(keys, cut)) for cut in cuts])
@@ -67,19 +89,14 @@ def key_between(
 ) -> Column:
     """`lo <= key < hi`, open where a bound is None.
 
-    For composite keys the bound on the first column is stated as well, because only plain
-    column comparisons reach the scan.
+    For composite keys the bound on the first column is stated as well, so that the scan can
+    prune by it.
     """
     cond = F.lit(True)
-    first = F.col(keys[0])
     if lo is not None:
-        cond = cond & (first >= F.lit(lo[0]).cast(types[0]))
-        if len(keys) > 1:
-            cond = cond & (key_struct(keys) >= key_literal(lo, types, keys))
+        bound = key_literals(lo, types)
+        cond = cond & (F.col(keys[0]) >= bound[0]) & _at_or_above(keys, bound)
     if hi is not None:
-        edge = F.lit(hi[0]).cast(types[0])
-        if len(keys) > 1:
-            cond = cond & (first <= edge) & (key_struct(keys) < key_literal(hi, types, keys))
-        else:
-            cond = cond & (first < edge)
+        bound = key_literals(hi, types)
+        cond = cond & (F.col(keys[0]) <= bound[0]) & ~_at_or_above(keys, bound)
     return cond
