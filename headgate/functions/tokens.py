@@ -31,10 +31,14 @@ def rfc3339(ts: Column) -> Column:
     return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), fraction, F.lit("Z"))
 
 
+def rfc3339_micros(text: Column) -> Column:
+    """Microseconds since 1970 of text with any offset; NULL for anything that is no timestamp."""
+    return F.unix_micros(text.try_cast("timestamp"))
+
+
 def from_rfc3339(text: Column) -> Column:
-    """Zone-less UTC timestamp of text with any offset; NULL for anything that is no timestamp."""
-    micros = F.unix_micros(text.try_cast("timestamp"))
-    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
+    """The same as a zone-less UTC timestamp."""
+    return F.timestamp_add("MICROSECOND", rfc3339_micros(text), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def replaced(text: Column, *pairs: tuple[str, str]) -> Column:

@@ -49,10 +49,23 @@ def epoch_micros(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("bigint") * F.lit(MICROS_PER_DAY)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
+        return ntz_micros(c)
     return F.unix_micros(c)
 
 
+def ntz_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a zone-less timestamp, from its own calendar fields.
+
+    `timestampdiff` would convert both sides to instants in the session zone first.
+    """
+    minutes = F.unix_date(c.cast("date")).cast("bigint") * 1440 + F.hour(c) * 60 + F.minute(c)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+
+
+def ntz_literal(text: str) -> Column:
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def plain_decimal(c: Column) -> Column:
     """Shortest plain text of an exact decimal: no exponent, no trailing zeros."""
     text = c.cast("string")

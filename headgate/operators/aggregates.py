@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headgate.functions.values import ntz_micros
 from headgate.operators.scan import union_all
 
 
@@ -64,7 +65,7 @@ def throughput(df: DataFrame, labels: list[str], ts: str, size: Column) -> DataF
     grouped = df.groupBy(*labels).agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(size.cast("bigint")).alias("bytes"),
-        F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)).alias("micros"),
+        (ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))).alias("micros"),
     )
     rate = F.col("records") / F.nullif(F.col("micros"), F.lit(0)) * F.lit(1e6)
     return grouped.select(*labels, "records", "bytes", F.round(rate, 6).alias("records_per_second"))

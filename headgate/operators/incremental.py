@@ -12,7 +12,9 @@ from headgate.functions.tokens import (
     is_start,
     lsn_sort_key,
     parse_token,
+    rfc3339_micros,
 )
+from headgate.functions.values import ntz_literal, ntz_micros
 from headgate.operators.scan import after_cursor
 from headgate.plans.statistics import cursor_column
 
@@ -28,7 +30,7 @@ def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int =
 
 def after_position(ts: str, key: str, t: str, last: object) -> Column:
     """`(ts, key) > (t, last)`. The plain bound on `ts` is stated too, so that the scan can prune."""
-    at = F.lit(t).cast("timestamp_ntz")
+    at = F.lit(t)
     return (F.col(ts) >= at) & ((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > F.lit(last))))
 
 
@@ -79,9 +81,8 @@ def checkpoint_age(df: DataFrame, token: str, as_of: str) -> DataFrame:
 
     Missing tokens are valid start positions of age 0; a token must decode and be at most a day old.
     """
-    created = from_rfc3339(parse_token(F.col(token))["timestamp"])
-    now = F.lit(as_of).cast("timestamp_ntz")
-    age = F.timestamp_diff("MICROSECOND", created, now) / F.lit(1e6)
+    created = rfc3339_micros(parse_token(F.col(token))["timestamp"])
+    age = (ntz_micros(ntz_literal(as_of)) - created) / F.lit(1e6)
     return df.withColumn("age_seconds", F.when(is_start(F.col(token)), F.lit(0.0)).otherwise(age)).withColumn(
         "valid", F.coalesce(F.col("age_seconds") <= MAX_AGE_SECONDS, F.lit(False))
     )

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headgate.functions.values import ntz_literal, ntz_micros
 from headgate.operators.scan import union_all
 
 
@@ -42,11 +43,11 @@ def threshold_check(
     df: DataFrame, labels: list[str], ts: str, started: str, min_rate: float, max_first_seconds: float, max_records: int
 ) -> DataFrame:
     """Rate, time to first record and row count of a run against its limits."""
-    start = F.lit(started).cast("timestamp_ntz")
+    start = ntz_micros(ntz_literal(started))
     per_run = df.groupBy(*labels).agg(
         F.count(F.lit(1)).alias("records"),
-        (F.timestamp_diff("MICROSECOND", start, F.min(ts)) / 1e6).alias("first_record_seconds"),
-        (F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) / 1e6).alias("seconds"),
+        ((ntz_micros(F.min(ts)) - start) / 1e6).alias("first_record_seconds"),
+        ((ntz_micros(F.max(ts)) - ntz_micros(F.min(ts))) / 1e6).alias("seconds"),
     )
     rate = F.round(F.col("records") / F.nullif(F.col("seconds"), F.lit(0.0)), 6)
     return per_run.select(

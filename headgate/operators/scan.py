@@ -20,8 +20,8 @@ def project(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 
 def after_cursor(ts: str, cursor: str | None) -> Column:
-    """Strictly after the cursor; without one, every row."""
-    return F.lit(True) if cursor is None else F.col(ts) > F.lit(cursor).cast("timestamp_ntz")
+    """Strictly after the cursor, read as the column's own type; without one, every row."""
+    return F.lit(True) if cursor is None else F.col(ts) > F.lit(cursor)
 
 
 def in_range(key: str, lo: Column, hi: Column) -> Column:

@@ -52,7 +52,8 @@ def read_manifest(spark: SparkSession, path: str, default_zero: bool = False) ->
         else:
             value = blank_to_null(c) if nullable else F.coalesce(trim_space(c), F.lit(""))
         typed.append(value.alias(name))
-    rows = raw.where(F.col(BAD_LINE).isNull()).select(*typed)
-    # Spark refuses to read the bad-line column alone, so a second column stays in the filter.
-    bad = F.col(BAD_LINE).isNotNull() & (F.length(F.coalesce(F.col("level"), F.lit(""))) >= 0)
-    return rows, raw.where(bad).select(F.col(BAD_LINE).alias("line"))
+    # Spark refuses to read the bad-line column alone, as a bare count would; so both filters
+    # use a second column.
+    is_read = F.length(F.coalesce(F.col("level"), F.lit(""))) >= 0
+    good, bad = F.col(BAD_LINE).isNull() & is_read, F.col(BAD_LINE).isNotNull() & is_read
+    return raw.where(good).select(*typed), raw.where(bad).select(F.col(BAD_LINE).alias("line"))
