@@ -11,6 +11,7 @@ from headgate.operators.aggregates import (
     entity_counts,
     histogram,
     ordered_text,
+    ordered_text_parts,
     throughput,
 )
 from headgate.operators.quality import Rule, quality_events, quality_summary, threshold_check
@@ -41,6 +42,18 @@ def _(spark, sd):
     return ordered_text(full_scan(spark, sd, "nation"), ["n_regionkey"], "n_name", "n_name", "nations")
 
 
+@query(
+    "a2_ordered_text_parts",
+    """
+    WITH r AS (SELECT o_orderpriority, o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderdate, o_orderkey) - 1 AS pos FROM orders)
+    SELECT o_orderpriority, pos // 500 AS part, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY pos) AS orders FROM r GROUP BY 1, 2
+    """,
+)
+def _(spark, sd):
+    orders = full_scan(spark, sd, "orders").select("o_orderpriority", "o_orderdate", "o_orderkey")
+    return ordered_text_parts(orders, ["o_orderpriority"], "o_orderkey", ["o_orderdate", "o_orderkey"], "orders", 500)
+
+
 @query(
     "a3_counters",
     """

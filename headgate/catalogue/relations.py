@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from headgate.catalogue import query
 from headgate.operators.aggregates import exact_sum
-from headgate.operators.joins import array_member_join, interval_join, join_chain, left_chain_counts
+from headgate.operators.joins import array_member_counts, array_member_join, interval_join, join_chain, left_chain_counts
 from headgate.sources.tables import full_scan
 
 
@@ -48,21 +48,31 @@ def _(spark, sd):
     )
 
 
+MEMBERS_SQL = "SELECT l_orderkey, l_linenumber, unnest(list_distinct([l_partkey, l_suppkey])) AS k FROM lineitem"
+
+
 @query(
     "j3_array_member",
-    """
-    WITH m AS (SELECT l_orderkey, l_linenumber, unnest(list_distinct([l_partkey, l_suppkey])) AS k FROM lineitem)
-    SELECT p_partkey, p_brand, count(*) AS mentions, min(l_orderkey) AS first_order FROM m JOIN part ON k = p_partkey GROUP BY p_partkey, p_brand
+    f"SELECT l_orderkey, l_linenumber, p_partkey, p_brand FROM ({MEMBERS_SQL}) JOIN part ON k = p_partkey",
+)
+def _(spark, sd):
+    lineitem = full_scan(spark, sd, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.array("l_partkey", "l_suppkey").alias("keys")
+    )
+    return array_member_join(lineitem, "keys", full_scan(spark, sd, "part").select("p_partkey", "p_brand"), "p_partkey")
+
+
+@query(
+    "j3_array_member_counts",
+    f"""
+    SELECT p_partkey, p_brand, count(*) AS mentions, min(l_orderkey) AS first_order FROM ({MEMBERS_SQL}) JOIN part ON k = p_partkey
+    GROUP BY p_partkey, p_brand
     """,
 )
 def _(spark, sd):
     lineitem = full_scan(spark, sd, "lineitem").select("l_orderkey", F.array("l_partkey", "l_suppkey").alias("keys"))
     part = full_scan(spark, sd, "part").select("p_partkey", "p_brand")
-    return (
-        array_member_join(lineitem, "keys", part, "p_partkey")
-        .groupBy("p_partkey", "p_brand")
-        .agg(F.count(F.lit(1)).alias("mentions"), F.min("l_orderkey").alias("first_order"))
-    )
+    return array_member_counts(lineitem, "keys", part, "p_partkey", F.min("l_orderkey").alias("first_order"))
 
 
 @query(

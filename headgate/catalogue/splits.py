@@ -15,7 +15,6 @@ from headgate.plans.splits import (
     split_by_range,
     split_by_rows,
     split_count,
-    split_report,
 )
 from headgate.plans.statistics import collect_stats, table_stats
 from headgate.sources.tables import full_scan
@@ -98,7 +97,7 @@ def planned_report(spark: SparkSession, sd: str, target: int) -> DataFrame:
     orders = full_scan(spark, sd, "orders")
     stats = collect_stats(orders, "o_orderkey")
     n = split_count(stats.row_count, target=target)
-    return split_report(orders, range_splits(orders, "o_orderkey", n, stats), "o_totalprice")
+    return range_splits(orders, "o_orderkey", n, stats).report(orders, "o_totalprice")
 
 
 REPORT_SQL = """
@@ -131,7 +130,7 @@ def _(spark, sd):
 )
 def _(spark, sd):
     lineitem = full_scan(spark, sd, "lineitem")
-    return split_report(lineitem, range_splits(lineitem, "l_orderkey", 16), "l_extendedprice")
+    return range_splits(lineitem, "l_orderkey", 16).report(lineitem, "l_extendedprice")
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from headgate.functions.values import ntz_micros
 from headgate.operators.scan import union_all
+from headgate.plans.rows import plan_rows
 
 
 def entity_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -21,12 +22,29 @@ def entity_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def ordered_text(df: DataFrame, group: list[str], value: str, order: str, name: str, sep: str = ",") -> DataFrame:
-    """One delimited text per group, in order. The text is one cell, so groups must be small
-    (column lists, members of a region), as the 2 GiB limit of a cell demands anyway."""
+    """One delimited text per group, in order.
+
+    The text is one cell, so this is for groups known to be small (the columns of a key, the
+    nations of a region). `ordered_text_parts` serves groups of any size.
+    """
     text = F.expr(f"listagg(`{value}`, '{sep}') WITHIN GROUP (ORDER BY `{order}`)")
     return df.groupBy(*group).agg(text.alias(name))
 
 
+def ordered_text_parts(
+    df: DataFrame, group: list[str], value: str, order: list[str], name: str, size: int = 10_000, sep: str = ","
+) -> DataFrame:
+    """The delimited text of every group in parts of at most `size` values.
+
+    A group's parts in the order of `part`, joined by `sep`, are its whole text. The values are
+    numbered by their position in the order of all groups, which no hot group can make a single
+    task of. `group` and `order` together must be unique.
+    """
+    numbered = plan_rows(df, [*group, *order]).index(df, "_pos")
+    text = F.expr(f"listagg(`{value}`, '{sep}') WITHIN GROUP (ORDER BY `_pos`)")
+    return numbered.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
+
+
 def exact_sum(c: Column) -> Column:
     """Sum of two-decimal amounts that does not depend on the order of addition."""
     return F.sum(c.cast("decimal(18,2)")).cast("double")

@@ -19,13 +19,14 @@ from headgate.operators.scan import after_cursor
 from headgate.plans.statistics import cursor_column
 
 
-def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int = 10_000) -> DataFrame:
-    """Rows strictly after the cursor in timestamp order, at most `limit`.
+def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int | None = 10_000) -> DataFrame:
+    """Rows strictly after the cursor in timestamp order, at most `limit`; None is all of them.
 
     Rows that tie with the last one may be left behind; `resume` does not have that gap.
     """
     ts = ts or cursor_column(df)
-    return df.where(after_cursor(ts, cursor)).orderBy(ts).limit(limit)
+    rows = df.where(after_cursor(ts, cursor)).orderBy(ts)
+    return rows if limit is None else rows.limit(limit)
 
 
 def after_position(ts: str, key: str, t: str, last: object) -> Column:

@@ -47,10 +47,23 @@ def left_chain_counts(
     )
 
 
-def array_member_join(df: DataFrame, array: str | Column, other: DataFrame, key: str) -> DataFrame:
+def array_members(df: DataFrame, array: str, name: str) -> DataFrame:
+    """One row per distinct element of the row's array, as column `name`."""
+    return df.withColumn(name, F.explode(F.array_distinct(array))).drop(array)
+
+
+def array_member_join(df: DataFrame, array: str, other: DataFrame, key: str) -> DataFrame:
     """Rows joined to every row of `other` whose key is in their array; a repeated element counts once."""
-    members = df.withColumn("_m", F.explode(F.array_distinct(F.col(array) if isinstance(array, str) else array)))
-    return members.join(other, F.col("_m") == other[key]).drop("_m")
+    return array_members(df, array, "_m").join(other, F.col("_m") == other[key]).drop("_m")
+
+
+def array_member_counts(df: DataFrame, array: str, other: DataFrame, key: str, *measures: Column) -> DataFrame:
+    """Rows of `other` with how many arrays name them, and further measures of those rows.
+
+    Elements are aggregated before the join, so a popular element is one row when it is shuffled.
+    """
+    counted = array_members(df, array, "_m").groupBy("_m").agg(F.count(F.lit(1)).alias("mentions"), *measures)
+    return other.join(counted, other[key] == F.col("_m")).drop("_m")
 
 
 def interval_join(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:

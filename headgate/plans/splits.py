@@ -70,21 +70,21 @@ class RangeSplits:
         steps = F.expr(f"({key} - ({self.min_key})) div {self.width}")
         return F.least(steps.cast("int"), F.lit(self.n - 1))
 
-    def plan(self, spark: SparkSession) -> DataFrame:
-        """One row per split: id, index, range, estimated rows and descriptive metadata.
+    def _described(self, index: Column) -> list[Column]:
+        """Id, range and estimated rows of a split, from its number.
 
         The last `hi` is NULL, so unbounded, when the largest key is the largest BIGINT.
         """
-        i = F.col("id")
-        lo = (F.lit(self.min_key) + i.cast("decimal(20,0)") * F.lit(self.width)).cast("bigint")
+        lo = (F.lit(self.min_key) + index.cast("decimal(20,0)") * F.lit(self.width)).cast("bigint")
         end = self.max_key + 1 if self.max_key < LONG_MAX else None
-        rows = spark.range(0, self.n, 1, 1).select(
-            split_name(i).alias("split_id"),
-            i.cast("int").alias("split_index"),
-            lo.alias("lo"),
-            F.when(i == self.n - 1, F.lit(end).cast("bigint")).otherwise(lo + F.lit(self.width)).alias("hi"),
-            F.lit(self.row_count // self.n).cast("bigint").alias("estimated_rows"),
-        )
+        hi = F.when(index == self.n - 1, F.lit(end).cast("bigint")).otherwise(lo + F.lit(self.width))
+        estimate = F.lit(self.row_count // self.n).cast("bigint")
+        return [split_name(index).alias("split_id"), lo.alias("lo"), hi.alias("hi"), estimate.alias("estimated_rows")]
+
+    def plan(self, spark: SparkSession) -> DataFrame:
+        """One row per split: id, index, range, estimated rows and descriptive metadata."""
+        index = F.col("id").cast("int")
+        rows = spark.range(0, self.n, 1, 1).select(index.alias("split_index"), *self._described(index))
         return rows.withColumn(
             "metadata",
             F.create_map(
@@ -96,6 +96,32 @@ class RangeSplits:
             ),
         )
 
+    def report(self, df: DataFrame, amount: str) -> DataFrame:
+        """Actual against planned rows, key bounds and a total per split; empty splits are kept.
+
+        One partial aggregation: every split contributes an empty row of its own, so no join
+        with the plan is needed.
+        """
+        key = F.col(self.key)
+        rows = df.select(self.index().alias("i"), key.alias("k"), F.col(amount).alias("v"), F.lit(1).alias("one"))
+        empty = df.sparkSession.range(0, self.n, 1, 1).select(
+            F.col("id").cast("int").alias("i"),
+            F.lit(None).cast(df.schema[self.key].dataType).alias("k"),
+            F.lit(None).cast(df.schema[amount].dataType).alias("v"),
+            F.lit(0).alias("one"),
+        )
+        actual = (
+            rows.unionByName(empty)
+            .groupBy("i")
+            .agg(
+                F.sum("one").alias("row_count"),
+                F.min("k").alias("min_key"),
+                F.max("k").alias("max_key"),
+                F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("total"),
+            )
+        )
+        return actual.select(*self._described(F.col("i")), "row_count", "min_key", "max_key", "total")
+
 
 def range_splits(df: DataFrame, key: str, n: int, stats: TableStats | None = None) -> RangeSplits:
     """Plan equal-width ranges; an empty table or a single key value is one split."""
@@ -144,24 +170,3 @@ def hash_index(key: str, n: int) -> Column:
 
 def split_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("split_id", split_name(hash_index(key, n)))
-
-
-def split_report(df: DataFrame, splits: RangeSplits, amount: str) -> DataFrame:
-    """Actual against planned rows, key bounds and a total per split; empty splits are kept."""
-    actual = (
-        df.withColumn("split_index", splits.index())
-        .groupBy("split_index")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(splits.key).alias("min_key"),
-            F.max(splits.key).alias("max_key"),
-            F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total"),
-        )
-    )
-    plan = splits.plan(df.sparkSession).drop("metadata")
-    # The plan has at most MAX_SPLITS rows, and so has the aggregate.
-    return (
-        plan.join(F.broadcast(actual), "split_index", "left")
-        .withColumn("row_count", F.coalesce("row_count", F.lit(0)).cast("bigint"))
-        .drop("split_index")
-    )

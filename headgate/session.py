@@ -28,6 +28,9 @@ def local_session(cpus: int | str = "*", app: str = "headgate", **conf: str) ->
     return spark
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
@@ -36,11 +39,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="headgate-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    if context.applicationId not in _fallback:
+        _fallback[context.applicationId] = tempfile.mkdtemp(prefix="headgate-")
+    return _fallback[context.applicationId]
 
 
 def workspace(spark: SparkSession, name: str) -> str:

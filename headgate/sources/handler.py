@@ -105,7 +105,8 @@ class ParquetKeyRanges(SourceHandler):
     """A keyed parquet table in equal-width ranges of its integer key.
 
     Bounds come from the file footers; each split reads only the row groups that overlap its
-    range. Options: `path`, `key`, `splits` and, for streams, `start`.
+    range. Options: `path`, `key`, `splits`, `columns` (comma-separated; Spark does not push a
+    projection into user sources) and, for streams, `start`.
     """
 
     def _dataset(self):
@@ -113,10 +114,17 @@ class ParquetKeyRanges(SourceHandler):
 
         return ds.dataset(self.options["path"], format="parquet")
 
+    def _columns(self) -> list[str]:
+        wanted = self.options.get("columns")
+        names = self._dataset().schema.names
+        return [n for n in names if n in wanted.split(",")] if wanted else names
+
     def schema(self) -> str:
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in from_arrow_schema(self._dataset().schema))
+        keep = self._columns()
+        fields = from_arrow_schema(self._dataset().schema).fields
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name in keep)
 
     def key_bounds(self) -> tuple[int, int]:
         """Smallest and largest key from row-group statistics."""
@@ -153,4 +161,4 @@ class ParquetKeyRanges(SourceHandler):
 
         key = ds.field(self.options["key"])
         wanted = (key >= split["lo"]) & (key < split["hi"])
-        yield from (b for b in self._dataset().to_batches(filter=wanted) if b.num_rows)
+        yield from (b for b in self._dataset().to_batches(columns=self._columns(), filter=wanted) if b.num_rows)

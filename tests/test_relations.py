@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from headgate.operators.aggregates import ordered_text_parts
 from headgate.operators.constraints import (
     ForeignKey,
     Relation,
@@ -15,7 +16,7 @@ from headgate.operators.constraints import (
     relationship_edges,
 )
 from headgate.operators.graph import group_report, manifest_walk, resume_traversal, traverse
-from headgate.operators.joins import array_member_join, interval_join, left_chain_counts
+from headgate.operators.joins import array_member_counts, array_member_join, interval_join, left_chain_counts
 from headgate.session import workspace
 
 
@@ -49,6 +50,8 @@ def test_array_members_count_once(spark):
     rows = spark.createDataFrame([(1, [1, 1, 2]), (2, []), (3, None), (4, [9])], "id INT, ks ARRAY<INT>")
     other = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, name STRING")
     assert sorted((r.id, r.name) for r in array_member_join(rows, "ks", other, "k").collect()) == [(1, "a"), (1, "b")]
+    counts = array_member_counts(rows, "ks", other, "k", F.min("id").alias("first"))
+    assert sorted(tuple(r) for r in counts.collect()) == [(1, "a", 1, 1), (2, "b", 1, 1)]
 
 
 def test_left_chain_keeps_parents_without_children(spark):
@@ -156,3 +159,11 @@ def test_edges_drop_missing_keys_and_repeated_links(spark):
     link = spark.createDataFrame([(1, 2), (1, 2), (None, 3)], "a INT, b INT")
     assert [tuple(r) for r in relationship_edges([Relation("s", "d", link, "a", "b", link=True)]).collect()] == [("s", "1", "d", "2")]
     assert relationship_edges([Relation("s", "d", link, "a", "b")]).count() == 2
+
+
+def test_text_parts_of_a_hot_group_are_its_whole_text(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"))
+    parts = ordered_text_parts(df, ["g"], "id", ["id"], "t", 100).collect()
+    assert max(len(r.t.split(",")) for r in parts) <= 100
+    hot = ",".join(r.t for r in sorted(parts, key=lambda r: r.part) if r.g == "hot")
+    assert hot == ",".join(str(i) for i in range(0, 5000, 3))

@@ -124,4 +124,7 @@ def test_key_range_handler_plans_disjoint_splits(sd):
     assert (splits[0]["lo"], splits[-1]["hi"]) == (low, high + 1)
     rows = sum(b.num_rows for s in splits for b in handler.read_split(s))
     assert rows == 1500
+    narrow = ParquetKeyRanges({"path": f"{sd}/orders.parquet", "key": "o_orderkey", "columns": "o_totalprice,o_custkey"})
+    assert narrow.schema() == "`o_custkey` bigint, `o_totalprice` double"
+    assert next(iter(narrow.read_split(splits[0]))).schema.names == ["o_custkey", "o_totalprice"]
     assert handler.plan_splits(10, 10) == [] and len(handler.plan_splits(10, 12)) == 2

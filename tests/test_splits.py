@@ -10,7 +10,6 @@ from headgate.plans.splits import (
     split_by_range,
     split_by_rows,
     split_count,
-    split_report,
 )
 from headgate.plans.statistics import NoKeyValues, collect_stats, cursor_column
 from headgate.sources.jdbc import range_predicates
@@ -61,7 +60,7 @@ def test_range_width_rule(spark):
 
 def test_more_splits_than_key_values(spark):
     df = keyed(spark, [1, 2, 3])
-    report = split_report(df, range_splits(df, "k", 8), "v").orderBy("split_id").collect()
+    report = range_splits(df, "k", 8).report(df, "v").orderBy("split_id").collect()
     assert [r.row_count for r in report] == [1, 1, 1, 0, 0, 0, 0, 0]
     assert report[0].split_id == "split-0000" and report[7].split_id == "split-0007"
 
@@ -75,7 +74,7 @@ def test_empty_table_is_one_split(spark):
     df = keyed(spark, [])
     splits = range_splits(df, "k", 4)
     assert splits.n == 1
-    assert split_report(df, splits, "v").first().row_count == 0
+    assert splits.report(df, "v").first().row_count == 0
     assert split_by_rows(df, "k", 4).count() == 0
 
 
