@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from headgate.catalogue import query
 from headgate.operators.constraints import (
+    Constraint,
     ForeignKey,
     Relation,
     check_violations,
@@ -14,7 +15,7 @@ from headgate.operators.constraints import (
     foreign_key_report,
     key_report,
     orphans,
-    profile,
+    profile_rows,
     relationship_edges,
 )
 from headgate.operators.graph import group_report, manifest_walk, resume_traversal, traverse
@@ -30,6 +31,9 @@ PROFILED = {
 }
 
 
+LOGICAL = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "STRING", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _profile_sql() -> str:
     rows = []
     for table, columns in PROFILED.items():
@@ -37,31 +41,50 @@ def _profile_sql() -> str:
             longest = f"CAST(max(length({name})) AS INTEGER)" if dtype == "string" else "NULL::INTEGER"
             rows.append(
                 f"""SELECT '{table}' AS entity, {i} AS ordinal, '{name}' AS "column", '{dtype}' AS type,
-                    NULL::INTEGER AS precision, {longest} AS max_length, count(*) - count({name}) AS null_count FROM {table}"""
+                    '{LOGICAL[dtype]}' AS logical_type, NULL::INTEGER AS precision, NULL::INTEGER AS scale, {longest} AS max_length, count(*) - count({name}) AS null_count FROM {table}"""
             )
     return " UNION ALL ".join(rows)
 
 
 @query("k1_column_profile", _profile_sql())
 def _(spark, sd):
-    return union_all([profile(full_scan(spark, sd, t), t) for t in PROFILED])
+    return union_all([profile_rows(full_scan(spark, sd, t), t) for t in PROFILED])
+
+
+CONSTRAINTS = {
+    "orders": [Constraint("orders_customer", "FOREIGN KEY", ["o_custkey"], "customer", ["c_custkey"])],
+    "documents": [Constraint("length", "CHECK", ["n_chars"], check="n_chars >= 0")],
+}
 
 
 @query(
     "k1_entity_descriptor",
     " UNION ALL ".join(
-        f"""SELECT '{t}' AS entity, {"true" if "timestamp_ntz" in c.values() else "false"} AS has_cursor, {len(c)} AS field_count,
-            '{",".join(c)}' AS columns"""
+        f"""SELECT '{t}' AS entity, 'shop_{t}_v1' AS schema_id, {"true" if "timestamp_ntz" in c.values() else "false"} AS has_cursor,
+            {"'o_orderdate'" if t == "orders" else "NULL::VARCHAR"} AS cursor_column, '{next(iter(c))}' AS primary_key,
+            '{",".join(x.type for x in CONSTRAINTS.get(t, []))}' AS constraints,
+            '{",".join(f"{n}:{LOGICAL[d]}" for n, d in c.items())}' AS columns,
+            {" + ".join(f"count(*) - count({n})" for n in c)} AS nulls FROM {t}"""
         for t, c in PROFILED.items()
     ),
 )
 def _(spark, sd):
-    nested = union_all([describe_entity(full_scan(spark, sd, t), t) for t in PROFILED])
+    nested = union_all(
+        [
+            describe_entity(full_scan(spark, sd, t), t, "shop", [next(iter(c))], CONSTRAINTS.get(t))
+            for t, c in PROFILED.items()
+        ]
+    )
+    named = F.transform("fields", lambda f: F.concat_ws(":", f["column"], f["logical_type"]))
     return nested.select(
         "entity",
+        "schema_id",
         "has_cursor",
-        F.size("fields").alias("field_count"),
-        F.array_join(F.transform("fields", lambda f: f["column"]), ",").alias("columns"),
+        "cursor_column",
+        F.array_join("primary_key", ",").alias("primary_key"),
+        F.array_join("constraints.type", ",").alias("constraints"),
+        F.array_join(named, ",").alias("columns"),
+        F.aggregate("fields", F.lit(0).cast("bigint"), lambda n, f: n + f["null_count"]).alias("nulls"),
     )
 
 

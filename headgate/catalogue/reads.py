@@ -129,14 +129,30 @@ EXTRACT_AS_OF = "2024-02-01 00:00:00"
 def _(spark, sd):
     events = full_scan(spark, sd, "events")
     path = workspace(spark, "extract")
-    return extract(events, path, "events", "ts", "event_id", "all", EXTRACT_AS_OF)[1]
+    return extract(events, path, "events", "event_id", EXTRACT_AS_OF, "ts")[1]
+
+
+@query(
+    "s10_extract_offset_state",
+    """
+    WITH s AS (SELECT count(*) AS records, max(p_partkey) AS last_key FROM part)
+    SELECT 'part' AS entity,
+           replace(replace(to_base64(encode('{"type":"offset","position":{"offset":' || records
+             || '},"timestamp":"2024-02-01T00:00:00.000000Z"}')), '+', '-'), '/', '_') AS token,
+           NULL::BIGINT AS watermark, 'all' AS group_id, records, last_key
+    FROM s
+    """,
+)
+def _(spark, sd):
+    part = full_scan(spark, sd, "part")
+    return extract(part, workspace(spark, "extract"), "part", "p_partkey", EXTRACT_AS_OF)[1]
 
 
 @query("s10_extract_rows", "SELECT * FROM events")
 def _(spark, sd):
     events = full_scan(spark, sd, "events")
     path = workspace(spark, "extract")
-    return extract(events, path, "events", "ts", "event_id", "all", EXTRACT_AS_OF)[0]
+    return extract(events, path, "events", "event_id", EXTRACT_AS_OF, "ts")[0]
 
 
 @query("p1_project", "SELECT o_orderkey, o_totalprice FROM orders")

@@ -72,6 +72,22 @@ LOGICAL_TO_SPARK = {
     "BINARY": "binary",
 }
 
+# The logical type of each Spark type; decimals and nested types are told by class.
+SPARK_TO_LOGICAL = {
+    "tinyint": "SMALLINT",
+    "smallint": "SMALLINT",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "float": "FLOAT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP_WITH_TZ",
+    "binary": "BINARY",
+    "variant": "JSON",
+}
+
 # Scalar types of a JSON schema.
 JSON_TYPES = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
 
@@ -99,6 +115,15 @@ def source_field_type(name: str) -> str:
     return LOGICAL_TO_SPARK.get(logical_type(name), "string")
 
 
+def spark_logical_type(dtype: T.DataType) -> str:
+    """Logical type of a column."""
+    if isinstance(dtype, T.DecimalType):
+        return "DECIMAL"
+    if isinstance(dtype, T.ArrayType):
+        return "ARRAY"
+    return SPARK_TO_LOGICAL.get(dtype.simpleString(), "STRING")
+
+
 def struct_from_json_schema(text: str) -> T.StructType:
     """Row type of a JSON schema: scalar properties, all nullable, in declared order."""
     properties = json.loads(text).get("properties")

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.typenames import spark_logical_type
 from headgate.operators.scan import union_all
+from headgate.plans.statistics import cursor_column
 
 
 def profile(df: DataFrame, entity: str) -> DataFrame:
-    """One row per column: ordinal, type, declared precision, longest text, NULLs. One pass over the table."""
+    """One row per column: ordinal, types, declared precision and scale, longest text, NULLs.
+
+    One pass over the table, whatever the number of columns.
+    """
     measures, rows = [F.count(F.lit(1)).alias("n")], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
@@ -21,29 +26,68 @@ def profile(df: DataFrame, entity: str) -> DataFrame:
         is_text = isinstance(f.dataType, T.StringType)
         if is_text:
             measures.append(F.max(F.length(c)).alias(f"w{i}"))
-        digits = f.dataType.precision if isinstance(f.dataType, T.DecimalType) else None
+        exact = f.dataType if isinstance(f.dataType, T.DecimalType) else None
         rows.append(
             F.struct(
                 F.lit(i + 1).alias("ordinal"),
                 F.lit(f.name).alias("column"),
                 F.lit(f.dataType.simpleString()).alias("type"),
-                F.lit(digits).cast("int").alias("precision"),
+                F.lit(spark_logical_type(f.dataType)).alias("logical_type"),
+                F.lit(exact.precision if exact else None).cast("int").alias("precision"),
+                F.lit(exact.scale if exact else None).cast("int").alias("scale"),
                 (F.col(f"w{i}") if is_text else F.lit(None)).cast("int").alias("max_length"),
                 (F.col("n") - F.col(f"v{i}")).alias("null_count"),
             )
         )
-    return df.agg(*measures).select(F.lit(entity).alias("entity"), F.inline(F.array(*rows)))
+    return df.agg(*measures).select(F.lit(entity).alias("entity"), F.array(*rows).alias("fields"))
 
 
-def describe_entity(df: DataFrame, entity: str) -> DataFrame:
-    """One nested descriptor: fields in order, and whether the table can be read incrementally."""
-    has_cursor = any(t in ("timestamp", "timestamp_ntz") for _, t in df.dtypes) or bool(
-        {"updated_at", "modified_at", "created_at"} & set(df.columns)
-    )
-    fields = profile(df, entity).groupBy("entity").agg(
-        F.array_sort(F.collect_list(F.struct("ordinal", "column", "type", "precision", "max_length", "null_count"))).alias("fields")
+def profile_rows(df: DataFrame, entity: str) -> DataFrame:
+    """The profile, one row per column."""
+    return profile(df, entity).select("entity", F.inline("fields"))
+
+
+@dataclass(frozen=True)
+class Constraint:
+    """A declared constraint, as it is carried in an entity descriptor."""
+
+    name: str
+    type: str
+    columns: list[str]
+    referenced_table: str | None = None
+    referenced_columns: list[str] = field(default_factory=list)
+    check: str | None = None
+
+
+def describe_entity(
+    df: DataFrame, entity: str, namespace: str, primary_key: list[str], constraints: list[Constraint] | None = None
+) -> DataFrame:
+    """One nested descriptor: fields in order with what was measured, keys, constraints, abilities."""
+    try:
+        cursor = cursor_column(df)
+    except ValueError:
+        cursor = None
+    declared = [
+        F.struct(
+            F.lit(c.name).alias("name"),
+            F.lit(c.type).alias("type"),
+            F.array(*[F.lit(x) for x in c.columns]).cast("array<string>").alias("columns"),
+            F.lit(c.referenced_table).cast("string").alias("referenced_table"),
+            F.array(*[F.lit(x) for x in c.referenced_columns]).cast("array<string>").alias("referenced_columns"),
+            F.lit(c.check).cast("string").alias("check"),
+        )
+        for c in constraints or []
+    ]
+    empty = "array<struct<name:string,type:string,columns:array<string>,referenced_table:string,referenced_columns:array<string>,check:string>>"
+    return profile(df, entity).select(
+        "entity",
+        F.lit(f"{namespace}_{entity}_v1").alias("schema_id"),
+        "fields",
+        F.array(*[F.lit(k) for k in primary_key]).cast("array<string>").alias("primary_key"),
+        F.array(*declared).cast(empty).alias("constraints"),
+        F.lit(cursor).cast("string").alias("cursor_column"),
+        F.lit(cursor is not None).alias("has_cursor"),
     )
-    return fields.withColumn("has_cursor", F.lit(has_cursor))
 
 
 def key_report(df: DataFrame, keys: list[str], entity: str) -> DataFrame:

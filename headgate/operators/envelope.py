@@ -42,24 +42,35 @@ def kind_counts(df: DataFrame) -> DataFrame:
     return to_cells(df, "", key).groupBy("column", "kind").agg(F.count(F.lit(1)).alias("cells"))
 
 
-def extract(df: DataFrame, path: str, entity: str, ts: str, key: str, group: str, as_of: str) -> tuple[DataFrame, DataFrame]:
+def extract(
+    df: DataFrame, path: str, entity: str, key: str, as_of: str, ts: str | None = None, group: str = "all"
+) -> tuple[DataFrame, DataFrame]:
     """Write all rows, then one state row for what was written.
 
-    The state is computed from the committed files and from two columns only, so a retried task
-    cannot count twice.
+    With a timestamp the state's token is the last `(ts, key)`, without one it is the number of
+    rows. The state is computed from the committed files and at most two columns, so a retried
+    task cannot count twice.
     """
     rows = save_table(df, path)
-    last = F.max(F.struct(ts, key)).alias("last")
-    state = rows.agg(F.count(F.lit(1)).alias("records"), last)
-    position = F.struct(
-        rfc3339(F.col(f"last.{ts}")).alias("timestamp"),
-        F.col(f"last.{key}").cast("string").alias("last_id"),
-    )
+    now = F.lit(as_of).cast("timestamp_ntz")
+    if ts is None:
+        state = rows.agg(F.count(F.lit(1)).alias("records"), F.max(key).alias("last_key"))
+        token = encode_token(F.lit("offset"), F.struct(F.col("records").alias("offset")), now)
+        watermark = F.lit(None).cast("bigint")
+    else:
+        last = F.max(F.struct(F.col(ts).alias("ts"), F.col(key).alias("key")))
+        state = rows.agg(F.count(F.lit(1)).alias("records"), last.alias("last"))
+        state = state.select("records", F.col("last.ts").alias("last_ts"), F.col("last.key").alias("last_key"))
+        position = F.struct(
+            rfc3339(F.col("last_ts")).alias("timestamp"), F.col("last_key").cast("string").alias("last_id")
+        )
+        token = encode_token(F.lit("timestamp"), position, now)
+        watermark = epoch_micros(F.col("last_ts"), df.schema[ts].dataType)
     return rows, state.select(
         F.lit(entity).alias("entity"),
-        encode_token(F.lit("timestamp"), position, F.lit(as_of).cast("timestamp_ntz")).alias("token"),
-        epoch_micros(F.col(f"last.{ts}"), df.schema[ts].dataType).alias("watermark"),
+        token.alias("token"),
+        watermark.alias("watermark"),
         F.lit(group).alias("group_id"),
         "records",
-        F.col(f"last.{key}").alias("last_key"),
+        "last_key",
     )

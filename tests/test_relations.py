@@ -12,7 +12,7 @@ from headgate.operators.constraints import (
     foreign_key_report,
     key_report,
     orphans,
-    profile,
+    profile_rows,
     relationship_edges,
 )
 from headgate.operators.graph import group_report, manifest_walk, resume_traversal, traverse
@@ -88,8 +88,11 @@ def test_composite_foreign_key(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([("abc", None), (None, None)], "s STRING, d DECIMAL(9,2)")
-    rows = profile(df, "t").orderBy("ordinal").collect()
-    assert [tuple(r)[1:] for r in rows] == [(1, "s", "string", None, 3, 1), (2, "d", "decimal(9,2)", 9, None, 2)]
+    rows = profile_rows(df, "t").orderBy("ordinal").collect()
+    assert [tuple(r)[1:] for r in rows] == [
+        (1, "s", "string", "STRING", None, None, 3, 1),
+        (2, "d", "decimal(9,2)", "DECIMAL", 9, 2, None, 2),
+    ]
 
 
 def edges_of(spark, pairs):

@@ -10,6 +10,7 @@ from headgate.sources.handler import ParquetKeyRanges, SourceHandler, register_h
 from headgate.sources.jdbc import range_predicates
 from headgate.sources.listing import DOCUMENT_EXTENSIONS, MODEL_EXTENSIONS, list_files
 from headgate.sources.manifest import COLUMNS, read_manifest
+from headgate.sources.package import MANIFEST_FILE, package_counts, read_package
 from headgate.sources.tables import UnknownEntity, full_scan, read_entity
 from headgate.plans.splits import RangeSplits
 
@@ -79,6 +80,21 @@ def test_listing_filters_by_extension(spark, tmp_path):
     assert list_files(spark, str(tmp_path)).count() == 5
 
 
+def test_package(spark, tmp_path):
+    (tmp_path / MANIFEST_FILE).write_text(f"{HEADER}\n{GOOD}\n")
+    for name in ("3D_Models/a.STEP", "3D_Models/x/b.stp", "3D_Models/readme.md", "Documents/c.pdf"):
+        os.makedirs(os.path.dirname(tmp_path / name), exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    root = str(tmp_path)
+    assert dict(package_counts(spark, root).collect()) == {"bom_manifest": 1, "cad_models": 2, "documents": 1}
+    assert read_package(spark, root, "bom_manifest").first().part_number == "PN-1"
+    assert {r.name for r in read_package(spark, root, "cad_models").collect()} == {"a.STEP", "b.stp"}
+    with pytest.raises(UnknownEntity):
+        read_package(spark, root, "drawings")
+    with pytest.raises(ValueError, match="mode"):
+        read_package(spark, root, "documents", "change_stream")
+
+
 def test_jdbc_predicates():
     splits = RangeSplits("id", 1, 10, 10, 3)
     assert range_predicates(splits) == ['"id" >= 1 AND "id" < 4', '"id" >= 4 AND "id" < 7', '"id" >= 7 AND "id" < 11']

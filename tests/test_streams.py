@@ -80,7 +80,7 @@ def test_callback_over_batches(spark):
 def test_extracted_state_matches_what_was_written(spark):
     base = workspace(spark, "t")
     tied = numbered(spark, 0, 10).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
-    rows, state = extract(tied, base, "e", "ts", "id", "g", "2024-02-01")
+    rows, state = extract(tied, base, "e", "id", "2024-02-01", "ts", "g")
     row = state.first()
     assert rows.count() == row.records == 10
     assert (row.entity, row.group_id, row.last_key, row.watermark) == ("e", "g", 9, 1704067200000000)
