@@ -113,8 +113,13 @@ def _(spark, sd):
     return union_all([key_report(full_scan(spark, sd, t), k, t) for t, k in KEYS.items()])
 
 
+@query("k3_unique_violations", "SELECT p_name, count(*) AS copies FROM part GROUP BY p_name HAVING count(*) > 1")
+def _(spark, sd):
+    return duplicates(full_scan(spark, sd, "part"), ["p_name"])
+
+
 @query(
-    "k3_unique_violations",
+    "k3_partial_unique_violations",
     "SELECT p_name, count(*) AS copies FROM part WHERE p_size > 25 GROUP BY p_name HAVING count(*) > 1",
 )
 def _(spark, sd):

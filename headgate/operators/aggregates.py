@@ -45,9 +45,9 @@ def ordered_text_parts(
     return numbered.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of two-decimal amounts that does not depend on the order of addition."""
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+def exact_sum(c: Column, scale: int = 2) -> Column:
+    """Sum of values with `scale` decimals that does not depend on the order of addition."""
+    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
 
 
 def counters(df: DataFrame, labels: list[str], size: Column, failed: Column) -> DataFrame:
@@ -60,11 +60,14 @@ def counters(df: DataFrame, labels: list[str], size: Column, failed: Column) ->
 
 
 def histogram(df: DataFrame, labels: list[str], value: str, bounds: list[float]) -> DataFrame:
-    """Cumulative buckets, sum and count per label set, one row per bound and one for +Inf."""
+    """Cumulative buckets, sum and count per label set, one row per bound and one for +Inf.
+
+    Values are summed to the microsecond.
+    """
     c = F.col(value)
     wide = df.groupBy(*labels).agg(
         *[F.count_if(c <= b).alias(f"b{i}") for i, b in enumerate(bounds)],
-        exact_sum(c).alias("sum"),
+        exact_sum(c, 6).alias("sum"),
         F.count(c).alias("count"),
     )
     rows = [F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"b{i}").alias("bucket")) for i, b in enumerate(bounds)]

@@ -130,12 +130,20 @@ class ForeignKey:
 
 
 def orphans(fk: ForeignKey) -> DataFrame:
-    """Child keys without a parent, and how many rows hold each; NULL keys pass."""
-    keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(fk.child_keys)]
-    names = [f"k{i}" for i in range(len(keys))]
-    used = fk.child.dropna(subset=fk.child_keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    known = fk.parent.select(*[F.col(c).alias(n) for c, n in zip(fk.parent_keys, names)])
-    return used.join(known, names, "left_anti")
+    """Child keys without a parent, and how many rows hold each; NULL keys pass.
+
+    Both sides are counted per key in one aggregation. An anti-join would be moved below the
+    counting by the optimizer, and then a hot key would be shuffled row by row.
+    """
+    names = [f"k{i}" for i in range(len(fk.child_keys))]
+
+    def keys_of(df: DataFrame, keys: list[str], child: int) -> DataFrame:
+        columns = [F.col(c).alias(n) for c, n in zip(keys, names)]
+        return df.select(*columns, F.lit(child).alias("_child"), F.lit(1 - child).alias("_parent")).dropna(subset=names)
+
+    both = keys_of(fk.child, fk.child_keys, 1).unionByName(keys_of(fk.parent, fk.parent_keys, 0))
+    per_key = both.groupBy(*names).agg(F.sum("_child").alias("rows"), F.sum("_parent").alias("_parents"))
+    return per_key.where((F.col("_parents") == 0) & (F.col("rows") > 0)).drop("_parents")
 
 
 def foreign_key_report(keys: list[ForeignKey]) -> DataFrame:

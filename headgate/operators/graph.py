@@ -1,8 +1,8 @@
 """Bounded traversal of related records, level by level.
 
 Every level is a written table below one state folder. A level costs one join of the frontier
-with the edges, a partial aggregation to distinct nodes and an anti-join with what was visited;
-the driver learns only whether the level was empty. The state folder is also what a later
+with the edges and one partial aggregation, together with what was visited, to the nodes that
+are new; the driver learns only which tables the level has nodes of. The state folder is also what a later
 run resumes from: the visited set may be far too large for a token.
 """
 
@@ -60,12 +60,18 @@ def resume_traversal(spark: SparkSession, state: str, depth: int, max_depth: int
         frontier = visited.where(F.col("depth") == depth).select(
             F.col("entity").alias("src_entity"), F.col("key").alias("src_key"), "group_id"
         )
-        reached = (
-            frontier.join(edges.where(F.col("src_entity").isin(at)), ["src_entity", "src_key"])
-            .groupBy(F.col("dst_entity").alias("entity"), F.col("dst_key").alias("key"))
-            .agg(F.min("group_id").alias("group_id"))
+        reached = frontier.join(edges.where(F.col("src_entity").isin(at)), ["src_entity", "src_key"]).select(
+            F.col("dst_entity").alias("entity"), F.col("dst_key").alias("key"), "group_id", F.lit(False).alias("seen")
+        )
+        known = visited.select("entity", "key", F.lit(None).cast("string").alias("group_id"), F.lit(True).alias("seen"))
+        # One aggregation both deduplicates what was reached and leaves out what was visited. An
+        # anti-join would be moved below the deduplication, where a hot node is many rows.
+        fresh = (
+            reached.unionByName(known)
+            .groupBy("entity", "key")
+            .agg(F.min("group_id").alias("group_id"), F.bool_or("seen").alias("seen"))
+            .where(~F.col("seen"))
         )
-        fresh = reached.join(visited.select("entity", "key"), ["entity", "key"], "left_anti")
         depth += 1
         at = _write_level(fresh, state, depth)
     return _visited(spark, state, depth)

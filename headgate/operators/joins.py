@@ -79,7 +79,7 @@ def interval_join(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str)
     graded = ranges.where(F.col(lo) < end).withColumn("_level", level.cast("int"))
     # At most 64 levels exist; without ranges any one of them matches nothing.
     levels = sorted(r[0] for r in graded.select("_level").distinct().collect()) or [0]
-    cell = "shiftright({}, _level)"
+    cell = "shiftright(CAST({} AS BIGINT), _level)"
     gridded = graded.withColumn(
         "_cell",
         F.explode(

@@ -96,10 +96,10 @@ class RangeSplits:
             ),
         )
 
-    def report(self, df: DataFrame, amount: str) -> DataFrame:
+    def report(self, df: DataFrame, amount: str, scale: int = 2) -> DataFrame:
         """Actual against planned rows, key bounds and a total per split; empty splits are kept.
 
-        One partial aggregation: every split contributes an empty row of its own, so no join
+        `scale` is the number of decimals of the amounts. One partial aggregation: every split contributes an empty row of its own, so no join
         with the plan is needed.
         """
         key = F.col(self.key)
@@ -117,7 +117,7 @@ class RangeSplits:
                 F.sum("one").alias("row_count"),
                 F.min("k").alias("min_key"),
                 F.max("k").alias("max_key"),
-                F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("total"),
+                F.sum(F.col("v").cast(f"decimal(18,{scale})")).cast("double").alias("total"),
             )
         )
         return actual.select(*self._described(F.col("i")), "row_count", "min_key", "max_key", "total")

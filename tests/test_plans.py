@@ -76,6 +76,11 @@ def test_first_row_per_group_is_an_aggregate(orders):
     assert "Window" not in plan and exchanges(plan) == 1 and "partial_min_by" in plan
 
 
+def test_orphans_are_counted_before_they_are_shuffled(spark, sd):
+    plan = plan_of(entry.queries()["k4_orphans"](spark, sd))
+    assert "Join" not in plan and exchanges(plan) == 1 and "partial_sum" in plan
+
+
 def test_intervals_are_an_equi_join(spark, sd):
     ranges = spark.range(50).select(F.col("id").alias("r"), (F.col("id") * 3).alias("lo"), (F.col("id") * 3 + 9).alias("hi"))
     plan = plan_of(interval_join(full_scan(spark, sd, "lineitem").select("l_partkey"), "l_partkey", ranges, "lo", "hi"))

@@ -33,6 +33,13 @@ def test_interval_join_agrees_with_brute_force(spark, seed):
     assert got == sorted((i, r) for i, k in enumerate(keys) for r, lo, hi in ranges if lo <= k and (hi is None or k < hi))
 
 
+def test_interval_join_of_int_keys_to_wide_ranges(spark):
+    rows = spark.createDataFrame([(-5,), (7,), (2147483647,)], "k INT")
+    table = spark.createDataFrame([(1, -10**12, 10**12), (2, 0, 10**10), (3, 7, 8)], "r INT, lo BIGINT, hi BIGINT")
+    got = sorted((x.k, x.r) for x in interval_join(rows, "k", table, "lo", "hi").collect())
+    assert got == [(-5, 1), (7, 1), (7, 2), (7, 3), (2147483647, 1), (2147483647, 2)]
+
+
 def test_interval_join_without_ranges(spark):
     empty = spark.createDataFrame([], "r INT, lo BIGINT, hi BIGINT")
     assert interval_join(spark.range(5), "id", empty, "lo", "hi").count() == 0

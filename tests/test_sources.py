@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headgate.operators.scan import project
 from headgate.sources.handler import ParquetKeyRanges, SourceHandler, register_handler
-from headgate.sources.jdbc import range_predicates
+from headgate.sources.jdbc import jdbc_scan, range_predicates
 from headgate.sources.listing import DOCUMENT_EXTENSIONS, MODEL_EXTENSIONS, list_files
 from headgate.sources.manifest import COLUMNS, read_manifest
 from headgate.sources.package import MANIFEST_FILE, package_counts, read_package
@@ -100,6 +100,25 @@ def test_jdbc_predicates():
     assert range_predicates(splits) == ['"id" >= 1 AND "id" < 4', '"id" >= 4 AND "id" < 7', '"id" >= 7 AND "id" < 11']
 
 
+class Recorder:
+    """Stands in for a session and keeps the arguments of a relational read; no database is needed."""
+
+    def __init__(self):
+        self.read = self
+
+    def jdbc(self, *args, **kwargs):
+        self.kwargs = kwargs
+
+
+@pytest.mark.parametrize(("n", "expected"), [(1, None), (4, "predicates"), (32, "column")])
+def test_jdbc_reads_open_a_bounded_number_of_connections(n, expected):
+    recorder = Recorder()
+    jdbc_scan(recorder, "jdbc:x", "t", RangeSplits("id", 1, 100, 100, n), max_connections=10)
+    assert len(recorder.kwargs.get("predicates", [])) == (n if expected == "predicates" else 0)
+    if expected == "column":
+        assert [recorder.kwargs[k] for k in ("column", "lowerBound", "upperBound", "numPartitions")] == ["id", 1, 101, 10]
+
+
 class Squares(SourceHandler):
     """A handler with three splits, one of which fails on request."""
 
