@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
@@ -22,6 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     return add
 
+
 def load() -> None:
     from headgate.catalogue import (  # noqa: F401
         checkpoints,
