@@ -1 +1,8 @@
 """Operators for building training corpora: decontamination, archives, near-duplicates, scoring, mixing."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to the executors by value: they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headgate.llm.decontaminate import contamination
+from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +49,13 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
