@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headgate.llm.decontaminate import contamination
+from headgate.llm.language import identify
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
 
@@ -53,9 +54,14 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
