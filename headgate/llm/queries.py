@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headgate.llm.decontaminate import contamination
 from headgate.llm.language import identify
+from headgate.llm.personal import find_personal
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
 
@@ -58,10 +59,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_language_id": op7_language_id,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {
