@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headgate.llm.decontaminate import contamination
 from headgate.llm.language import identify
+from headgate.llm.lattice import score
 from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.personal import find_personal
 from headgate.llm.simhash import near_duplicates
@@ -56,6 +57,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), domain_labels(read(spark, sf_dir, "labels")))
 
@@ -71,6 +76,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_lattice_scores": op4_lattice_scores,
     "op5_mix_to_targets": op5_mix_to_targets,
     "op7_language_id": op7_language_id,
     "op9_personal_data": op9_personal_data,
