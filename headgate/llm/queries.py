@@ -13,6 +13,7 @@ from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.personal import find_personal
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
+from headgate.llm.warc import archived
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,29 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(read(spark, sf_dir, "pages"))
+
+
+OP2_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, html,
+         array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * i AS INT), 5) AS BIGINT) // power(2, s)::BIGINT) % 32 AS INT), 1)), '')), '') AS payload_digest
+  FROM p
+), f AS (
+  SELECT html, min(page_id) AS first FROM p GROUP BY html
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d JOIN f USING (html)
+"""
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -75,6 +99,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_warc_archive": op2_warc_archive,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_lattice_scores": op4_lattice_scores,
     "op5_mix_to_targets": op5_mix_to_targets,
@@ -84,4 +109,5 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
+    "op2_warc_archive": OP2_SQL,
 }
