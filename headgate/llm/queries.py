@@ -10,6 +10,7 @@ from headgate.llm.decontaminate import contamination
 from headgate.llm.language import identify
 from headgate.llm.lattice import score
 from headgate.llm.mixing import domain_labels, mix
+from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
@@ -93,6 +94,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(read(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op4_lattice_scores": op4_lattice_scores,
     "op5_mix_to_targets": op5_mix_to_targets,
     "op7_language_id": op7_language_id,
+    "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
 }
 
