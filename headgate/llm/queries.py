@@ -12,6 +12,7 @@ from headgate.llm.lattice import score
 from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
+from headgate.llm.repeats import without_repeats
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
 from headgate.llm.warc import archived
@@ -102,6 +103,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archive": op2_warc_archive,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op7_language_id": op7_language_id,
     "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
