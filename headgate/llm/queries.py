@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headgate.llm.decontaminate import contamination
 from headgate.llm.language import identify
 from headgate.llm.lattice import score
+from headgate.llm.licences import scan
 from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
@@ -91,6 +93,13 @@ def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), domain_labels(read(spark, sf_dir, "labels")))
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: a folder per source, one per language below it."""
+    documents = read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+    return scan(documents.select(path.alias("path"), "text"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))
 
@@ -113,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_lattice_scores": op4_lattice_scores,
     "op5_mix_to_targets": op5_mix_to_targets,
+    "op6_licence_scan": op6_licence_scan,
     "op7_language_id": op7_language_id,
     "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
