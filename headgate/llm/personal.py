@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from headgate.llm.tables import kept
 
 #: The kinds in their order, and their patterns. Look-behind with \G (or the end of
-#: the match before) and possessive quantifiers keep the matches and make them linear in the text.
+#: the match before) and possessive quantifiers keep the matches and make them linear in the text; a card's pattern asks
+#: for its 16 digits at once, as shorter runs of digits are dropped anyway.
 KINDS = ("email", "ip", "card", "phone")
 STRICT = (
     r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    r"[0-9](?:[ -]?[0-9])++",
+    r"[0-9](?:[ -]?[0-9]){15,}+",
     r"\+[0-9][ ().0-9-]+[0-9]",
 )
 LOOSE = (
@@ -60,25 +61,57 @@ ROUNDS = 40
 #: Probability from which a loose candidate is reported.
 THRESHOLD = 0.9
 
-_FOUND = "array<struct<start:int,hit:string,before:string,after:string>>"
 FEATURES = ("length", "digits", "left", "right", "cue")
 
 
-def _located(gaps: Column, hits: Column) -> Column:
-    """Matches with code point offset and the text around them, from the pieces between them."""
-    parts = F.transform(gaps, lambda gap, i: F.struct(gap.alias("gap"), F.get(hits, i).alias("hit"), F.get(gaps, i + 1).alias("rest")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("found"))
+def _before(df: DataFrame, columns: list[str], fold: Callable[[Column, Column], Column]) -> DataFrame:
+    """Each array of numbers replaced by what `fold` makes of the elements before each, from 0 on.
 
-    def step(done: Column, part: Column) -> Column:
-        at = done["at"] + F.length(part["gap"])
-        around = F.right(part["gap"], F.lit(BEFORE)).alias("before"), F.left(part["rest"], F.lit(1)).alias("after")
-        one = F.struct(at.alias("start"), part["hit"].alias("hit"), *around)
-        return F.struct(
-            (at + F.coalesce(F.length(part["hit"]), F.lit(0))).alias("at"),
-            F.when(part["hit"].isNull(), done["found"]).otherwise(F.concat(done["found"], F.array(one))).alias("found"),
-        )
+    In blocks of about the square root of the length, so that long arrays do not cost their square.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    width = {c: F.greatest(F.ceil(F.sqrt(F.size(c))).cast("int"), F.lit(1)) for c in columns}
+    zero = F.lit(0)
+
+    def block(c: str) -> Column:
+        last = F.floor((F.size(c) - 1) / width[c]).cast("int")
+        return F.transform(F.sequence(zero, last), lambda b: F.aggregate(F.slice(c, b * width[c] + 1, width[c]), zero, fold))
+
+    df = df.select(*others, *columns, *[F.when(F.size(c) > 0, block(c)).alias(f"{c}_blocks") for c in columns])
+    bases = [_bases(f"{c}_blocks", fold).alias(f"{c}_bases") for c in columns]
+    df = df.select(*others, *columns, *bases)
+    return df.select(*others, *[_inner(c, width[c], fold).alias(c) for c in columns])
+
+
+def _bases(blocks: str, fold: Callable[[Column, Column], Column]) -> Column:
+    return F.transform(blocks, lambda _, b: F.aggregate(F.slice(blocks, F.lit(1), b), F.lit(0), fold))
+
+
+def _inner(column: str, width: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    def one(_: Column, i: Column) -> Column:
+        base = F.get(F.col(f"{column}_bases"), F.floor(i / width).cast("int"))
+        return F.aggregate(F.slice(column, i - i % width + 1, i % width), base, fold)
 
-    return F.when(F.size(hits) > 0, F.aggregate(parts, start, step, lambda x: x["found"])).otherwise(F.array().cast(_FOUND))
+    return F.transform(column, one)
+
+
+def _located(k: int) -> Column:
+    """Matches of a pattern with code point offset and the text around them."""
+    gaps = F.col(f"_gaps{k}")
+
+    def one(hit: Column, i: Column) -> Column:
+        gap = F.get(gaps, i)
+        start = F.get(F.col(f"_at{k}"), i) + F.length(gap)
+        before, after = F.right(gap, F.lit(BEFORE)), F.left(F.get(gaps, i + 1), F.lit(1))
+        return F.struct(start.alias("start"), hit.alias("hit"), before.alias("before"), after.alias("after"))
+
+    return F.transform(f"_hits{k}", one)
+
+
+def _passage(k: int) -> Column:
+    """Length of each match with the piece before it."""
+    gaps = F.col(f"_gaps{k}")
+    return F.transform(f"_hits{k}", lambda hit, i: F.length(F.get(gaps, i)) + F.length(hit))
 
 
 def _digits(hit: Column) -> Column:
@@ -170,8 +203,11 @@ def candidates(documents: DataFrame, text: str = "text", into: str = "candidates
     now = documents.select(*own, *[F.regexp_extract_all(value, F.lit(p), F.lit(0)).alias(f"_hits{k}") for k, p in enumerate(patterns)])
     # The pieces between the matches come from the same matches; most texts have none.
     gaps = [F.when(F.size(f"_hits{k}") > 0, F.split(value, p, -1)).alias(f"_gaps{k}") for k, p in enumerate(patterns)]
-    now = now.select(*own, *[f"_hits{k}" for k in range(len(patterns))], *gaps)
-    now = now.select(*own, *[_located(F.col(f"_gaps{k}"), F.col(f"_hits{k}")).alias(f"_found{k}") for k in range(len(patterns))])
+    every = range(len(patterns))
+    now = now.select(*own, *[f"_hits{k}" for k in every], *gaps)
+    now = now.select("*", *[_passage(k).alias(f"_at{k}") for k in every])
+    now = _before(now, [f"_at{k}" for k in every], lambda a, x: a + x)
+    now = now.select(*own, *[_located(k).alias(f"_found{k}") for k in every])
     passed = [F.filter(f"_found{k}", partial(_passed, k)).alias(f"_strict{k}") for k in kinds]
     now = now.select(*own, *passed, *[F.col(f"_found{k + len(KINDS)}").alias(f"_loose{k}") for k in kinds])
     strict = [_each(f"_strict{k}", partial(_described, True), k) for k in kinds]
@@ -279,22 +315,17 @@ def find_personal(documents: DataFrame, threshold: float = THRESHOLD) -> DataFra
     return spans.select("doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col("all")).alias("spans"))
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """`text` with every span replaced by the name of its kind; overlapping spans by the first's."""
+def _masked(text: str) -> Column:
+    """The text with every one of `_spans` replaced by its kind; overlapping ones by the first's."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    inside = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(done: Column, s: Column) -> Column:
-        before = F.substr(text, done["at"] + 1, s["start"] - done["at"])
-        more = F.concat(done["parts"], F.array(before, F.get(names, s["kind"])))
-        fresh = s["start"] >= done["at"]
-        return F.struct(F.greatest(done["at"], s["stop"]).alias("at"), F.when(fresh, more).otherwise(done["parts"]).alias("parts"))
 
-    def end(done: Column) -> Column:
-        return F.concat(F.array_join(done["parts"], ""), F.substr(text, done["at"] + 1, F.length(text)))
+    def piece(s: Column, i: Column) -> Column:
+        reached = F.get(F.col("_reached"), i)
+        fresh = F.concat(F.substr(F.col(text), reached + 1, s["start"] - reached), F.get(names, s["kind"]))
+        return F.when(s["start"] >= reached, fresh).otherwise("")
 
-    return F.when(F.size(spans) > 0, F.aggregate(inside, begin, step, end)).otherwise(text)
+    rest = F.substr(F.col(text), F.array_max(F.transform("_spans", lambda s: s["stop"])) + 1, F.length(text))
+    return F.when(F.size("_spans") > 0, F.concat(F.array_join(F.transform("_spans", piece), ""), rest)).otherwise(F.col(text))
 
 
 def mask_personal(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -304,8 +335,11 @@ def mask_personal(documents: DataFrame, threshold: float = THRESHOLD) -> DataFra
     text = f"c{own.index('text')}"
     marked = candidates(plain, text)
     spans = _reported(train(marked.select("candidates")), threshold)
-    found = marked.select(*plain.columns, spans.alias("spans"))
-    found = found.select(*plain.columns, _masked(F.col(text), F.col("spans")).alias("masked"))
+    by_start = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
+    found = marked.select(*plain.columns, F.array_sort(by_start).alias("_spans"))
+    found = found.select("*", F.transform("_spans", lambda s: s["stop"]).alias("_reached"))
+    found = _before(found, ["_reached"], lambda a, x: F.greatest(a, x))
+    found = found.select(*plain.columns, _masked(text).alias("masked"))
     changed = F.col("masked") != F.col(text)
     values = {c: F.col(c) for c in plain.columns} | {text: F.col("masked")}
     if "n_chars" in own:
