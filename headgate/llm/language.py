@@ -165,10 +165,10 @@ def identify(documents: DataFrame) -> DataFrame:
 def keep_identified(documents: DataFrame) -> DataFrame:
     """The documents in a language that was learned, with their own columns.
 
-    Rejected are those without a letter and those whose trigrams no mixture of the languages
-    explains better than equally likely buckets would.
+    Rejected are those it can't name a language for: null texts and those without a letter. How
+    well the named one fits is reported (`gain`) and rejects nothing: a rare text may be clean.
     """
     own = documents.columns
     plain = [f"own_{k}" if c in NEW else c for k, c in enumerate(own)]
     found = predict(documents.toDF(*plain), learn(documents), plain)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("gain") > 0)).select(*plain).toDF(*own)
+    return found.where(F.col("lang_pred") != UNKNOWN).select(*plain).toDF(*own)
