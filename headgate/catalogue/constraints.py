@@ -216,8 +216,7 @@ REACHED_SQL = f"""
       SELECT 'region', CAST(r_regionkey AS VARCHAR), CAST(r_regionkey AS VARCHAR), 0 FROM region
       UNION
       SELECT dst_entity, dst_key, group_id, depth + 1 FROM reach JOIN edges ON entity = src_entity AND key = src_key WHERE depth < 4),
-    nodes AS (SELECT entity, key, min(depth) AS depth, arg_min(group_id, lpad(CAST(depth AS VARCHAR), 5, '0') || group_id) AS group_id
-              FROM reach GROUP BY entity, key)
+    nodes AS (SELECT entity, key, group_id, min(depth) AS depth FROM reach GROUP BY entity, key, group_id)
 """
 
 
@@ -226,7 +225,7 @@ def _(spark, sd):
     return shop_edges(spark, sd)
 
 
-@query("g1_traverse", f"{REACHED_SQL} SELECT entity, key, depth FROM nodes")
+@query("g1_traverse", f"{REACHED_SQL} SELECT entity, key, min(depth) AS depth FROM nodes GROUP BY entity, key")
 def _(spark, sd):
     return traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 4).select("entity", "key", "depth")
 
@@ -236,14 +235,14 @@ def _(spark, sd):
     f"{REACHED_SQL} SELECT group_id, count(*) AS nodes, max(depth) AS deepest, max(depth) < 4 AS completed FROM nodes GROUP BY group_id",
 )
 def _(spark, sd):
-    return group_report(traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 4), 4)
+    return group_report(traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 4, by_group=True), 4)
 
 
 @query("g3_resume_traversal", f"{REACHED_SQL} SELECT entity, key, group_id, depth FROM nodes")
 def _(spark, sd):
     state = workspace(spark, "traverse")
-    traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 1, state)
-    return resume_traversal(spark, state, 1, 4)
+    traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 1, state, by_group=True)
+    return resume_traversal(spark, state, 1, 4, by_group=True)
 
 
 @query(

@@ -14,7 +14,7 @@ from headgate.operators.scan import (
     first_per_group,
     in_range,
     project,
-    read_hash,
+    tag_hash,
     read_range,
     union_all,
 )
@@ -52,7 +52,7 @@ def _(spark, sd):
     bounds = range_splits(orders, "o_orderkey", SPLITS).bounds()
     return union_all(
         [
-            read_range(orders, "o_orderkey", lo, hi, ["o_totalprice", "o_orderkey"]).select(
+            read_range(orders, "o_orderkey", lo, hi, ["o_totalprice", "o_orderkey"], nulls=i == 0).select(
                 F.lit(i).alias("split_index"), "*"
             )
             for i, (lo, hi) in enumerate(bounds)
@@ -85,9 +85,7 @@ def _(spark, sd):
 )
 def _(spark, sd):
     orders = full_scan(spark, sd, "orders").select("o_orderkey", "o_totalprice")
-    return union_all(
-        [read_hash(orders, "o_orderkey", SPLITS, i).withColumn("split_index", F.lit(i)) for i in range(SPLITS)]
-    )
+    return tag_hash(orders, "o_orderkey", SPLITS)
 
 
 @query("s9_envelope", "SELECT 'orders' AS entity, 'UPSERT' AS op, * FROM orders")
@@ -213,8 +211,9 @@ def _(spark, sd):
     return first_per_group(full_scan(spark, sd, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
-@query("o3_union_of_splits", "SELECT * FROM orders")
+@query("o3_union_of_splits", "SELECT *, nullif(o_orderkey % 7, 0) AS k FROM orders")
 def _(spark, sd):
-    orders = full_scan(spark, sd, "orders")
-    bounds = range_splits(orders, "o_orderkey", SPLITS).bounds()
-    return union_all([read_range(orders, "o_orderkey", lo, hi) for lo, hi in bounds])
+    """Splits of a column in which keys repeat and are missing."""
+    orders = full_scan(spark, sd, "orders").withColumn("k", F.nullif(F.col("o_orderkey") % 7, F.lit(0)))
+    bounds = range_splits(orders, "k", SPLITS).bounds()
+    return union_all([read_range(orders, "k", lo, hi, nulls=i == 0) for i, (lo, hi) in enumerate(bounds)])

@@ -9,9 +9,7 @@ from headgate.operators.aggregates import exact_sum
 from headgate.operators.scan import union_all
 from headgate.plans.splits import range_splits
 from headgate.session import workspace
-from headgate.sources.handler import ParquetKeyRanges, register_handler
 from headgate.sources.jdbc import range_predicates
-from headgate.sources.listing import list_files
 from headgate.sources.manifest import COLUMNS, read_manifest
 from headgate.sources.tables import full_scan
 
@@ -93,20 +91,3 @@ def _(spark, sd):
 )
 def _(spark, sd):
     return read_manifest(spark, written_manifest(spark, sd))[1]
-
-
-@query("s8_file_listing")
-def _(spark, sd):
-    return list_files(spark, sd, [".parquet"])
-
-
-@query("s11_user_source", "SELECT * FROM orders")
-def _(spark, sd):
-    register_handler(spark, "parquet_key_ranges", ParquetKeyRanges)
-    return (
-        spark.read.format("parquet_key_ranges")
-        .option("path", f"{sd}/orders.parquet")
-        .option("key", "o_orderkey")
-        .option("splits", "4")
-        .load()
-    )

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from headgate.catalogue import query
 from headgate.session import workspace
-from headgate.sources.handler import ParquetKeyRanges, register_handler
 from headgate.sources.tables import full_scan
 from headgate.streaming.extract import (
-    drop_redelivered,
     extract_stream,
+    first_delivery_writer,
     for_each_batch,
     map_batches,
     read_upserts,
@@ -70,25 +69,11 @@ def _(spark, sd):
 def _(spark, sd):
     base = workspace(spark, "redelivery")
     events = full_scan(spark, sd, "events")
-    events.unionByName(events).write.parquet(f"{base}/in")
-    stream = drop_redelivered(stream_table(spark, f"{base}/in"), "event_id", "ts", "1 hour")
-    extract_stream(stream, f"{base}/out", f"{base}/position").awaitTermination()
-    return spark.read.parquet(f"{base}/out")
-
-
-@query("t6_user_stream_source", "SELECT * FROM events")
-def _(spark, sd):
-    base = workspace(spark, "user-stream")
-    register_handler(spark, "parquet_key_ranges", ParquetKeyRanges)
-    stream = (
-        spark.readStream.format("parquet_key_ranges")
-        .option("path", f"{sd}/events.parquet")
-        .option("key", "event_id")
-        .option("splits", "4")
-        .load()
-    )
-    extract_stream(stream, f"{base}/out", f"{base}/position").awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    # Every row twice, old and new ones mixed, in files that come one by one.
+    events.unionByName(events).repartition(FILES).write.parquet(f"{base}/in")
+    stream = stream_table(spark, f"{base}/in", files_per_batch=1)
+    for_each_batch(stream, first_delivery_writer(f"{base}/out", "event_id"), f"{base}/position").awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch")
 
 
 def shout(batch: pd.DataFrame) -> pd.DataFrame:

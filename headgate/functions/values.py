@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,5 +140,5 @@ def has_extension(ext: Column, allowed: list[str]) -> Column:
 
 def parse_list(c: Column, sep: str = ",") -> Column:
     """Delimited text as an array: parts trimmed, empty parts and 'NULL' left out."""
-    parts = F.transform(F.split(c, sep), trim_space)
+    parts = F.transform(F.split(c, re.escape(sep)), trim_space)
     return F.filter(parts, lambda x: (x != "") & (x != "NULL"))

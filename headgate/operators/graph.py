@@ -33,11 +33,18 @@ def _entities(nodes: DataFrame) -> list[str]:
     return [r[0] for r in nodes.select("entity").distinct().collect()]
 
 
-def traverse(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, state: str | None = None) -> DataFrame:
-    """Nodes reachable from the roots, each once at its smallest depth, with the root's group.
+def _ids(by_group: bool) -> list[str]:
+    return ["entity", "key", "group_id"] if by_group else ["entity", "key"]
 
-    `roots` has `entity, key, group_id`. A node that several groups reach at the same depth
-    belongs to the smallest group id. Without `max_depth` it runs until a level is empty.
+
+def traverse(
+    edges: DataFrame, roots: DataFrame, max_depth: int | None = None, state: str | None = None, by_group: bool = False
+) -> DataFrame:
+    """Nodes reachable from the roots at their smallest depth.
+
+    `roots` has `entity, key, group_id`. Each node comes once, with the smallest group id of those
+    that reach it first; with `by_group` it comes once for every group that reaches it, so that
+    each group has its whole subgraph. Without `max_depth` it runs until a level is empty.
 
     The edges are written once, by table they lead from: deriving them again for every level
     would repeat their scans and their deduplication, and a level reads only the tables its
@@ -46,12 +53,14 @@ def traverse(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, s
     spark = edges.sparkSession
     state = state or workspace(spark, "traverse")
     edges.write.mode("overwrite").partitionBy("src_entity").parquet(f"{state}/edges")
-    start = roots.groupBy("entity", "key").agg(F.min("group_id").alias("group_id"))
+    start = roots.select(*_ids(True)).distinct() if by_group else roots.groupBy(*_ids(False)).agg(F.min("group_id").alias("group_id"))
     _write_level(start, state, 0)
-    return resume_traversal(spark, state, 0, max_depth)
+    return resume_traversal(spark, state, 0, max_depth, by_group)
 
 
-def resume_traversal(spark: SparkSession, state: str, depth: int, max_depth: int | None = None) -> DataFrame:
+def resume_traversal(
+    spark: SparkSession, state: str, depth: int, max_depth: int | None = None, by_group: bool = False
+) -> DataFrame:
     """Go on from level `depth` of a saved state; the result is that of one uninterrupted run."""
     edges = spark.read.schema(EDGE_SCHEMA).parquet(f"{state}/edges")
     at = _entities(_visited(spark, state, depth).where(F.col("depth") == depth))
@@ -63,15 +72,13 @@ def resume_traversal(spark: SparkSession, state: str, depth: int, max_depth: int
         reached = frontier.join(edges.where(F.col("src_entity").isin(at)), ["src_entity", "src_key"]).select(
             F.col("dst_entity").alias("entity"), F.col("dst_key").alias("key"), "group_id", F.lit(False).alias("seen")
         )
-        known = visited.select("entity", "key", F.lit(None).cast("string").alias("group_id"), F.lit(True).alias("seen"))
+        group = F.col("group_id") if by_group else F.lit(None).cast("string").alias("group_id")
+        known = visited.select("entity", "key", group, F.lit(True).alias("seen"))
         # One aggregation both deduplicates what was reached and leaves out what was visited. An
         # anti-join would be moved below the deduplication, where a hot node is many rows.
-        fresh = (
-            reached.unionByName(known)
-            .groupBy("entity", "key")
-            .agg(F.min("group_id").alias("group_id"), F.bool_or("seen").alias("seen"))
-            .where(~F.col("seen"))
-        )
+        least = [] if by_group else [F.min("group_id").alias("group_id")]
+        both = reached.unionByName(known).groupBy(*_ids(by_group)).agg(*least, F.bool_or("seen").alias("seen"))
+        fresh = both.where(~F.col("seen"))
         depth += 1
         at = _write_level(fresh, state, depth)
     return _visited(spark, state, depth)
@@ -89,6 +96,7 @@ def group_report(nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
 def manifest_walk(rows: DataFrame, part: str, parent: str, level: str) -> DataFrame:
     """Level and root of every manifest row recomputed from the parent links.
 
+    A part used below several roots has a row for each of them.
     Rows in a cycle or below a missing parent are reached from no root: their level is NULL.
     """
     key, above = F.col(part).cast("string"), F.col(parent).cast("string")
@@ -98,7 +106,7 @@ def manifest_walk(rows: DataFrame, part: str, parent: str, level: str) -> DataFr
     roots = rows.where(F.col(parent).isNull()).select(
         F.lit("part").alias("entity"), key.alias("key"), key.alias("group_id")
     )
-    found = traverse(edges, roots).select(
+    found = traverse(edges, roots, by_group=True).select(
         F.col("key").alias("_k"), F.col("depth").alias("walk_level"), F.col("group_id").alias("root")
     )
     return (

@@ -19,10 +19,10 @@ from headgate.operators.scan import after_cursor
 from headgate.plans.statistics import cursor_column
 
 
-def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int | None = 10_000) -> DataFrame:
-    """Rows strictly after the cursor in timestamp order, at most `limit`; None is all of them.
+def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int | None = None) -> DataFrame:
+    """Rows strictly after the cursor in timestamp order: all of them, or at most `limit`.
 
-    Rows that tie with the last one may be left behind; `resume` does not have that gap.
+    With a limit, rows that tie with the last one may be left behind; `resume` does not have that gap.
     """
     ts = ts or cursor_column(df)
     rows = df.where(after_cursor(ts, cursor)).orderBy(ts)

@@ -29,13 +29,24 @@ def in_range(key: str, lo: Column, hi: Column) -> Column:
     return (F.col(key) >= lo) & (F.col(key) < hi)
 
 
-def read_range(df: DataFrame, key: str, lo: int | None, hi: int | None, columns: list[str] | None = None) -> DataFrame:
-    """One key-range split. A bound left out is not applied."""
+def read_range(
+    df: DataFrame, key: str, lo: int | None, hi: int | None, columns: list[str] | None = None, nulls: bool = False
+) -> DataFrame:
+    """One key-range split. A bound left out is not applied; with `nulls`, rows without a key too.
+
+    Of the splits of a plan the first one has these rows.
+    """
+    inside = F.lit(True)
     if lo is not None:
-        df = df.where(F.col(key) >= F.lit(lo))
+        inside = inside & (F.col(key) >= F.lit(lo))
     if hi is not None:
-        df = df.where(F.col(key) < F.lit(hi))
-    return project(df, columns or [])
+        inside = inside & (F.col(key) < F.lit(hi))
+    return project(df.where(inside | F.col(key).isNull() if nulls else inside), columns or [])
+
+
+def tag_hash(df: DataFrame, key: str, n: int) -> DataFrame:
+    """All hash splits in one pass, the number of the split as a column."""
+    return df.withColumn("split_index", hash_index(key, n))
 
 
 def read_rows(df: DataFrame, keys: str | list[str], offset: int, limit: int) -> DataFrame:
@@ -49,8 +60,12 @@ def read_hash(df: DataFrame, key: str, n: int, i: int) -> DataFrame:
 
 
 def below_path(path: str, prefix: str) -> Column:
-    """Keys below a path prefix; reaches the scan as a pushed filter."""
-    return F.col(path).startswith(prefix)
+    """Keys at or below a folder; reaches the scan as a pushed filter.
+
+    A sibling whose name merely begins alike is not below it.
+    """
+    folder = prefix.rstrip("/")
+    return (F.col(path) == folder) | F.col(path).startswith(f"{folder}/")
 
 
 def first_by(df: DataFrame, order: list[str], n: int) -> DataFrame:

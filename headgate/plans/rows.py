@@ -68,10 +68,11 @@ class RowPlan:
     def keys_at(self, df: DataFrame, positions: list[int]) -> dict[int, tuple[str, ...]]:
         """Key text at each position that exists; reads and sorts only the buckets concerned."""
         wanted = sorted({p for p in positions if 0 <= p < self.total})
-        if len(wanted) > MAX_POSITIONS:
-            raise ValueError(f"{len(wanted)} positions asked for; use index() to number every row")
         if not wanted:
             return {}
+        if len(wanted) > MAX_POSITIONS:  # so many to a job; an expression lists their buckets
+            parts = [wanted[i : i + MAX_POSITIONS] for i in range(0, len(wanted), MAX_POSITIONS)]
+            return {p: key for part in parts for p, key in self.keys_at(df, part).items()}
         buckets = sorted({bisect_right(self.starts, p) - 1 for p in wanted})
         ranges = [key_between(self.keys, self.types, *self._bucket_bounds(b)) for b in buckets]
         near = df.select(*self.keys).where(reduce(Column.__or__, ranges))
@@ -118,6 +119,9 @@ def plan_rows(df: DataFrame, keys: str | list[str], buckets: int | None = None)
     per_bucket = narrow.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("nulls")).collect()
     if any(r["nulls"] for r in per_bucket):
         raise ValueError(f"rows without a value in {keys}; row positions need a complete key")
+    # Over all keys, at every size: among rows that tie no position is the right one.
+    if not narrow.groupBy(*keys).count().where(F.col("count") > 1).isEmpty():
+        raise ValueError(f"{keys} repeats; row positions need a tie-breaker")
     counts = {r["b"]: r["n"] for r in per_bucket}
     sizes = [counts.get(b, 0) for b in range(len(cuts) + 1)]
     return RowPlan(keys, types, cuts, list(accumulate(sizes, initial=0))[:-1], sum(sizes))
@@ -153,8 +157,6 @@ def page(df: DataFrame, keys: str | list[str], offset: str | int | None = None,
         skip = max(int(offset or 0), 0)
     except ValueError:
         skip = 0
-    if skip == 0:
-        return df.orderBy(*keys).limit(limit)
     return plan_rows(df, keys).slice(df, skip, limit).orderBy(*keys)
 
 

@@ -68,7 +68,7 @@ class RangeSplits:
         wide = self.max_key - self.min_key >= LONG_MAX
         key = f"CAST(`{self.key}` AS {'DECIMAL(20,0)' if wide else 'BIGINT'})"
         steps = F.expr(f"({key} - ({self.min_key})) div {self.width}")
-        return F.least(steps.cast("int"), F.lit(self.n - 1))
+        return F.least(F.coalesce(steps.cast("int"), F.lit(0)), F.lit(self.n - 1))  # null keys: the first split
 
     def _described(self, index: Column) -> list[Column]:
         """Id, range and estimated rows of a split, from its number.
@@ -165,7 +165,8 @@ def portable_hash(key: str) -> Column:
 
 
 def hash_index(key: str, n: int) -> Column:
-    return F.pmod(portable_hash(key), F.lit(n)).cast("int")
+    """Number of the hash split; rows without a key are in the first."""
+    return F.coalesce(F.pmod(portable_hash(key), F.lit(n)).cast("int"), F.lit(0))
 
 
 def split_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:

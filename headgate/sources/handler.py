@@ -99,66 +99,3 @@ def register_handler(spark: SparkSession, name: str, handler: type[SourceHandler
             return _OffsetReader(handler(dict(self.options)))
 
     spark.dataSource.register(HandlerSource)
-
-
-class ParquetKeyRanges(SourceHandler):
-    """A keyed parquet table in equal-width ranges of its integer key.
-
-    Bounds come from the file footers; each split reads only the row groups that overlap its
-    range. Options: `path`, `key`, `splits`, `columns` (comma-separated; Spark does not push a
-    projection into user sources) and, for streams, `start`.
-    """
-
-    def _dataset(self):
-        import pyarrow.dataset as ds
-
-        return ds.dataset(self.options["path"], format="parquet")
-
-    def _columns(self) -> list[str]:
-        wanted = self.options.get("columns")
-        names = self._dataset().schema.names
-        return [n for n in names if n in wanted.split(",")] if wanted else names
-
-    def schema(self) -> str:
-        from pyspark.sql.pandas.types import from_arrow_schema
-
-        keep = self._columns()
-        fields = from_arrow_schema(self._dataset().schema).fields
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name in keep)
-
-    def key_bounds(self) -> tuple[int, int]:
-        """Smallest and largest key from row-group statistics."""
-        dataset = self._dataset()
-        lows, highs = [], []
-        for fragment in dataset.get_fragments():
-            meta = fragment.metadata
-            at = meta.schema.names.index(self.options["key"])
-            for g in range(meta.num_row_groups):
-                stats = meta.row_group(g).column(at).statistics
-                lows.append(stats.min)
-                highs.append(stats.max)
-        return min(lows), max(highs)
-
-    def first_offset(self) -> int:
-        return int(self.options.get("start") or self.key_bounds()[0])
-
-    def latest_offset(self) -> int:
-        return self.key_bounds()[1] + 1
-
-    def plan_splits(self, start=None, end=None) -> list[dict]:
-        if start is None or end is None:
-            low, high = self.key_bounds()
-            start, end = low, high + 1
-        if start >= end:
-            return []
-        n = min(int(self.options.get("splits", 4)), end - start)
-        width = (end - start) // n
-        edges = [start + i * width for i in range(n)] + [end]
-        return [{"lo": lo, "hi": hi} for lo, hi in zip(edges, edges[1:])]
-
-    def read_split(self, split):
-        import pyarrow.dataset as ds
-
-        key = ds.field(self.options["key"])
-        wanted = (key >= split["lo"]) & (key < split["hi"])
-        yield from (b for b in self._dataset().to_batches(columns=self._columns(), filter=wanted) if b.num_rows)

@@ -12,7 +12,8 @@ MAX_CONNECTIONS = 10
 def range_predicates(splits: RangeSplits) -> list[str]:
     """WHERE clauses of the planned key ranges; together they cover every non-NULL key once."""
     key = f'"{splits.key}"'
-    return [f"{key} >= {lo} AND {key} < {hi}" for lo, hi in splits.bounds()]
+    ranges = [f"{key} >= {lo} AND {key} < {hi}" for lo, hi in splits.bounds()]
+    return [f"({ranges[0]}) OR {key} IS NULL", *ranges[1:]]
 
 
 def jdbc_scan(
@@ -31,17 +32,9 @@ def jdbc_scan(
     properties = {"fetchsize": "10000", **options}
     if splits is None or splits.n == 1:
         return spark.read.jdbc(url, table, properties=properties)
-    if splits.n <= max_connections:
-        return spark.read.jdbc(url, table, predicates=range_predicates(splits), properties=properties)
-    return spark.read.jdbc(
-        url,
-        table,
-        column=splits.key,
-        lowerBound=splits.min_key,
-        upperBound=splits.max_key + 1,
-        numPartitions=max_connections,
-        properties=properties,
-    )
+    ranges = spark.read.jdbc(url, table, predicates=range_predicates(splits), properties=properties)
+    # Fewer connections than ranges: a task reads several planned ranges, one after the other.
+    return ranges.coalesce(max_connections)
 
 
 def jdbc_stats(spark: SparkSession, url: str, table: str, key: str, **options: str) -> DataFrame:

@@ -31,7 +31,7 @@ def read_manifest(spark: SparkSession, path: str, default_zero: bool = False) ->
 
     Numbers that do not parse are NULL, or 0 with `default_zero`.
     """
-    header = spark.read.option("header", "true").csv(path).columns
+    header = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(path).columns
     if len(header) < len(COLUMNS):
         raise ValueError(f"a manifest has {len(COLUMNS)} columns, this one has {len(header)}")
     names = [n for n, _, _ in COLUMNS] + [f"_more{i}" for i in range(len(header) - len(COLUMNS))]
@@ -42,6 +42,10 @@ def read_manifest(spark: SparkSession, path: str, default_zero: bool = False) ->
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .option("columnPruning", "false")
+        # A quote inside quotes is doubled and a backslash is a character; a cell may hold line
+        # breaks, for which a file is read by one task: a manifest lists one package.
+        .option("escape", '"')
+        .option("multiLine", "true")
         .csv(path)
     )
     typed = []

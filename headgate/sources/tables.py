@@ -30,7 +30,7 @@ def read_entity(
     mode: str = FULL_TABLE,
     ts: str | None = None,
     cursor: str | None = None,
-    limit: int | None = 10_000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Read a named table in one of the extraction modes; an unknown mode is an error."""
     from headgate.operators.incremental import incremental

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType
 
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -16,7 +18,7 @@ def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = N
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # Stream sources take folders or patterns; this pattern matches exactly `path`, file or folder.
-    path = path.rstrip("/")
+    path = re.sub(r"([*?{}\[\]\\])", r"\\\1", path.rstrip("/"))
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -86,7 +88,21 @@ def read_upserts(spark: SparkSession, path: str, key: str, order: list[str]) ->
     return newest_per_key(spark.read.parquet(path).drop("batch"), key, order)
 
 
-def drop_redelivered(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """Collapse rows delivered again within `delay`; the state is bounded by the watermark."""
-    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
-    return timed.dropDuplicatesWithinWatermark([key]).drop("_event_time")
+def first_delivery_writer(path: str, key: str) -> Callable[[DataFrame, int], None]:
+    """Per batch the rows whose key no earlier batch has delivered, one row for each key.
+
+    A row is left out for no other reason: not for its time, however late it comes, and not for a
+    null key, which tells nothing. What was delivered is the key column of the batches before, so a
+    repeated batch replaces its own files.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, out = batch.sparkSession, f"{path}/batch={batch_id}"
+        keyed = batch.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
+        if batch_id > 0:
+            schema = batch.select(key).schema.add("batch", IntegerType())
+            before = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id).select(key)
+            keyed = keyed.join(before, key, "left_anti")
+        keyed.select(batch.columns).union(batch.where(F.col(f"`{key}`").isNull())).write.mode("overwrite").parquet(out)
+
+    return write

@@ -155,6 +155,18 @@ def test_groups_that_ended_are_completed(spark):
     assert got == {"a": (2, 1, True), "b": (3, 2, False)}
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_every_group_has_its_whole_subgraph(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(str(rng.randrange(40)), str(rng.randrange(40))) for _ in range(70)]
+    roots = [("0", "b"), ("1", "a"), ("1", "c"), ("2", "b")]
+    got = traverse(edges_of(spark, pairs), roots_of(spark, roots), 5, by_group=True)
+    want = {}
+    for g in {g for _, g in roots}:
+        want |= {(k, g): depth for k, (depth, _) in walk(pairs, [r for r in roots if r[1] == g], 5).items()}
+    assert {(r.key, r.group_id): r.depth for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_manifest_with_a_cycle_and_a_missing_parent(spark):
     rows = [("A", None, 0), ("B", "A", 1), ("C", "B", 5), ("X", "Y", 1), ("Y", "X", 2), ("Z", "gone", 1)]
     df = spark.createDataFrame(rows, "pn STRING, parent STRING, level INT")

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from headgate.plans.splits import split_by_rows
 from headgate.operators.incremental import resume
 from headgate.plans.rows import bucket_count, page, paginate, plan_rows
 
@@ -95,3 +96,17 @@ def test_bucket_count():
     assert bucket_count(150_000, 8) == 8
     assert bucket_count(10**9, 8) == 1000
     assert bucket_count(10**13, 8) == 16_384
+
+
+def test_tied_keys_are_errors_at_every_size_and_offset(spark):
+    for rows in (40, 9_000):
+        df = spark.range(rows).select((F.col("id") % (rows - 1)).alias("k"))
+        for offset in (None, "0", "10"):
+            with pytest.raises(ValueError, match="tie-breaker"):
+                page(df, "k", offset, 10)
+
+
+def test_more_splits_than_positions_of_a_job(spark):
+    df = spark.range(5_000).select(F.col("id").alias("k"))
+    tagged = split_by_rows(df, "k", 2_000).groupBy("split_id").count()
+    assert tagged.count() == 2_000 and tagged.agg(F.sum("count")).first()[0] == 5_000

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from headgate.operators.scan import project
-from headgate.sources.handler import ParquetKeyRanges, SourceHandler, register_handler
+from headgate.sources.handler import SourceHandler, register_handler
 from headgate.sources.jdbc import jdbc_scan, range_predicates
 from headgate.sources.listing import DOCUMENT_EXTENSIONS, MODEL_EXTENSIONS, list_files
 from headgate.sources.manifest import COLUMNS, read_manifest
@@ -97,7 +97,7 @@ def test_package(spark, tmp_path):
 
 def test_jdbc_predicates():
     splits = RangeSplits("id", 1, 10, 10, 3)
-    assert range_predicates(splits) == ['"id" >= 1 AND "id" < 4', '"id" >= 4 AND "id" < 7', '"id" >= 7 AND "id" < 11']
+    assert range_predicates(splits) == ['("id" >= 1 AND "id" < 4) OR "id" IS NULL', '"id" >= 4 AND "id" < 7', '"id" >= 7 AND "id" < 11']
 
 
 class Recorder:
@@ -107,16 +107,20 @@ class Recorder:
         self.read = self
 
     def jdbc(self, *args, **kwargs):
-        self.kwargs = kwargs
+        self.kwargs, self.tasks = kwargs, None
+        return self
 
+    def coalesce(self, n):
+        self.tasks = n
+        return self
 
-@pytest.mark.parametrize(("n", "expected"), [(1, None), (4, "predicates"), (32, "column")])
-def test_jdbc_reads_open_a_bounded_number_of_connections(n, expected):
+
+@pytest.mark.parametrize("n", [1, 4, 32])
+def test_jdbc_reads_open_a_bounded_number_of_connections(n):
     recorder = Recorder()
     jdbc_scan(recorder, "jdbc:x", "t", RangeSplits("id", 1, 100, 100, n), max_connections=10)
-    assert len(recorder.kwargs.get("predicates", [])) == (n if expected == "predicates" else 0)
-    if expected == "column":
-        assert [recorder.kwargs[k] for k in ("column", "lowerBound", "upperBound", "numPartitions")] == ["id", 1, 101, 10]
+    assert recorder.kwargs.get("predicates", []) == (range_predicates(RangeSplits("id", 1, 100, 100, n)) if n > 1 else [])
+    assert recorder.tasks == (10 if n > 1 else None)
 
 
 class Squares(SourceHandler):
@@ -151,15 +155,15 @@ def test_user_source(spark):
         Squares({}).latest_offset()
 
 
-def test_key_range_handler_plans_disjoint_splits(sd):
-    handler = ParquetKeyRanges({"path": f"{sd}/orders.parquet", "key": "o_orderkey", "splits": "7"})
-    low, high = handler.key_bounds()
-    splits = handler.plan_splits()
-    assert [s["lo"] for s in splits[1:]] == [s["hi"] for s in splits[:-1]]
-    assert (splits[0]["lo"], splits[-1]["hi"]) == (low, high + 1)
-    rows = sum(b.num_rows for s in splits for b in handler.read_split(s))
-    assert rows == 1500
-    narrow = ParquetKeyRanges({"path": f"{sd}/orders.parquet", "key": "o_orderkey", "columns": "o_totalprice,o_custkey"})
-    assert narrow.schema() == "`o_custkey` bigint, `o_totalprice` double"
-    assert next(iter(narrow.read_split(splits[0]))).schema.names == ["o_custkey", "o_totalprice"]
-    assert handler.plan_splits(10, 10) == [] and len(handler.plan_splits(10, 12)) == 2
+def test_manifest_cells_in_quotes(spark, tmp_path):
+    from headgate.sources.manifest import COLUMNS, read_manifest
+
+    names = ['bolt 1/2" hex, long', "two\nlines", "ends in \\", "plain"]
+    lines = [",".join(n for n, _, _ in COLUMNS)]
+    for i, name in enumerate(names):
+        quoted = '"' + name.replace('"', '""') + '"'
+        lines.append(f"1,,{i},A,{quoted},1,part,,,,,,")
+    (tmp_path / "m.csv").write_text("\n".join(lines) + "\n")
+    rows, rejects = read_manifest(spark, str(tmp_path / "m.csv"))
+    assert {r.part_number: r.nomenclature for r in rows.collect()} == {str(i): n for i, n in enumerate(names)}
+    assert rejects.count() == 0

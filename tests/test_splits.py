@@ -149,3 +149,15 @@ def test_cursor_column_rule(spark):
     assert cursor_column(spark.createDataFrame([], "id INT, created_at STRING")) == "created_at"
     with pytest.raises(ValueError, match="no column"):
         cursor_column(spark.createDataFrame([], "id INT"))
+
+
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_rows_without_a_key_are_in_one_split(spark, n):
+    df = spark.range(100).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), "id")
+    plan = range_splits(df, "k", n)
+    parts = [read_range(df, "k", lo, hi, nulls=i == 0) for i, (lo, hi) in enumerate(plan.bounds())]
+    sizes = [p.count() for p in parts]
+    tagged = {r["split_id"]: r["count"] for r in split_by_range(df, "k", n).groupBy("split_id").count().collect()}
+    assert sum(sizes) == 100 and [tagged[f"split-{i:04d}"] for i in range(n)] == sizes
+    assert union_all([read_hash(df, "k", n, i) for i in range(n)]).count() == 100
+    assert split_by_hash(df, "k", n).where("split_id IS NULL").count() == 0

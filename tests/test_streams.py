@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from headgate.operators.envelope import extract
 from headgate.session import workspace
 from headgate.streaming.extract import (
-    drop_redelivered,
     extract_stream,
+    first_delivery_writer,
     for_each_batch,
     map_batches,
     read_upserts,
@@ -52,13 +52,14 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert sorted((r.k, r.id) for r in before) == [(0, 30), (1, 31), (2, 32), (3, 28), (4, 29)]
 
 
-def test_redelivered_rows_collapse_over_batches(spark):
+def test_redelivered_rows_collapse_and_late_ones_stay(spark):
     base = workspace(spark, "t")
-    for _ in range(2):
-        numbered(spark, 0, 60).write.mode("append").parquet(f"{base}/in")
-        stream = drop_redelivered(stream_table(spark, f"{base}/in"), "id", "ts", "1 hour")
-        extract_stream(stream, f"{base}/out", f"{base}/position").awaitTermination()
-    assert spark.read.parquet(f"{base}/out").count() == 60
+    for lo, hi in [(40, 60), (0, 20), (40, 60), (10, 50)]:
+        numbered(spark, lo, hi).write.mode("append").parquet(f"{base}/in")
+        stream = stream_table(spark, f"{base}/in", files_per_batch=1)
+        for_each_batch(stream, first_delivery_writer(f"{base}/out", "id"), f"{base}/position").awaitTermination()
+    ids = [r.id for r in spark.read.parquet(f"{base}/out").orderBy("id").collect()]
+    assert ids == list(range(60))
 
 
 def test_an_error_in_a_callback_stops_the_read(spark):
