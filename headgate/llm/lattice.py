@@ -20,7 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headgate.llm.tables import dropped, kept
@@ -28,8 +29,8 @@ from headgate.llm.tables import dropped, kept
 #: A public vocabulary file; executors never read it, they get its pieces.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Documents of a block: the words of a block and its texts are one task's memory.
-BLOCK = 4096
-ROUNDS = 2
+BLOCK = 8192
+ROUNDS = 1
 #: Distinct words a task counts before it passes them on.
 HELD = 500_000
 MARK = "▁"  # begins a word in the vocabulary
@@ -184,18 +185,19 @@ def _text(token: bytes) -> str:
     return token.decode("utf-8", "replace").replace("\0", "\ufffd")  # zero pads the arrays
 
 
-def _name(token: bytes) -> int:
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
+def _names(words: list[bytes]) -> np.ndarray:
+    """The words' 64-bit hashes, those of Spark's `xxhash64`."""
+    return np.array([xxhash.xxh64_intdigest(w, 42) for w in words], dtype=np.uint64).view(np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """`block, h, token, n`: the words of each block, with their number in training documents."""
+    """`block, token, n`: the words of each block, with their number in training documents."""
     block, seen = None, {}
 
     def out() -> pa.RecordBatch:
         words = list(seen)
-        arrays = [pa.array([block] * len(words), pa.int64()), pa.array(list(map(_name, words)), pa.int64()), pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, ["block", "h", "token", "n"])
+        arrays = [pa.array([block] * len(words), pa.int64()), pa.array(words, pa.binary()), pa.array(list(seen.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["block", "token", "n"])
 
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
@@ -236,7 +238,7 @@ def _weighed(weights: dict[str, float], stop: float):
         lattice = Lattice(*shared.value)
         for batch in batches:
             found = lattice.log_probabilities(list(map(_text, batch.column("token").to_pylist())))
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(found, pa.float64())], ["h", "n", "ln"])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(found.astype(np.float32))], ["h", "n", "ln"])
 
     shared = _share((weights, stop))
     return tasks
@@ -269,7 +271,7 @@ def _scored(total: int, kinds: int, ends: int, out: pa.Schema):
     def tasks(docs: pa.Table, figures: pa.Table) -> pa.Table:
         h, n, ln = (figures.column(c).to_numpy() for c in ("h", "n", "ln"))
         order = np.argsort(h)
-        h, n, ln = h[order], n[order].astype(np.float64), ln[order]
+        h, n, ln = h[order], n[order].astype(np.float64), ln[order].astype(np.float64)
         base = np.log10(n + 1) - base_of
         with np.errstate(divide="ignore"):
             seen = np.log10(n) if kinds else np.full(len(n), -np.inf)
@@ -278,7 +280,7 @@ def _scored(total: int, kinds: int, ends: int, out: pa.Schema):
         score = top + np.log10(10.0 ** (seen - top) + 10.0 ** (unseen - top)) - math.log10(max(total + kinds, 1))
         sizes, known, bases, scores = [], [], [], []
         for text in docs.column("text").cast(pa.binary()):
-            names = np.array(list(map(_name, tokens(text.as_py() or b""))), dtype=np.int64)
+            names = _names(tokens(text.as_py() or b""))
             at = np.searchsorted(h, names)
             sizes.append(len(names) + 1)
             known.append(int((n[at] > 0).sum()) + (ends > 0))
@@ -290,6 +292,19 @@ def _scored(total: int, kinds: int, ends: int, out: pa.Schema):
     return tasks
 
 
+def _blocks(documents: DataFrame, held: Column, block: int) -> DataFrame:
+    """`doc_id, text, held_out, block`: rows that lie together share a block, in every pass alike.
+
+    Files tell a row's place; other tables are written first, so that their rows have one.
+    """
+    try:
+        place = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / block))
+        return documents.select("doc_id", "text", held, place.alias("block"))
+    except AnalysisException:
+        place = F.floor(F.monotonically_increasing_id() / block)
+        return kept(documents.select("doc_id", "text", held, place.alias("block")), "op4-docs")
+
+
 def score(documents: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` for every row.
 
@@ -298,17 +313,18 @@ def score(documents: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS, bl
     Words are matched by 64-bit hash. Other columns are left unread; an empty table gives no rows.
     """
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
-    place = F.floor(F.monotonically_increasing_id() / block)
-    docs = kept(documents.select("doc_id", "text", held.alias("held_out"), place.alias("block")), "op4-docs")
-    asked = kept(docs.select("text", "held_out", "block").mapInArrow(_counted, "block long, h long, token binary, n long"), "op4-asked")
-    words = kept(asked.groupBy("h", "token").agg(F.sum("n").alias("n")), "op4-words")
+    docs = _blocks(documents, held.alias("held_out"), block)
+    asked = kept(docs.select("text", "held_out", "block").mapInArrow(_counted, "block long, token binary, n long"), "op4-asked")
+    words = kept(asked.groupBy("token").agg(F.sum("n").alias("n")), "op4-words")
     seen = words.where("n > 0")
     tokens_, kinds = (x or 0 for x in seen.agg(F.sum("n"), F.count("*")).first())
     ends = docs.where("NOT held_out").count()
     weights, stop = learn(seen.select("token"), path, rounds)
-    figures = kept(words.mapInArrow(_weighed(weights, stop), "h long, n long, ln double"), "op4-figures")
+    named = words.select(F.xxhash64("token").alias("h"), "token", "n")
+    figures = kept(named.mapInArrow(_weighed(weights, stop), "h long, n long, ln float"), "op4-figures")
     dropped(words)
-    answers = asked.select("block", "h").distinct().join(figures, "h")
+    # A word may come twice from one block; its figures are the same.
+    answers = asked.select("block", F.xxhash64("token").alias("h")).join(figures, "h")
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
     out = f"doc_id {kind}, held_out boolean, {names}"

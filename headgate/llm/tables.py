@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headgate.session import save_table, workspace
+from headgate.session import workspace
 
 #: Fixed value: everything that separates words once A-Z are lower-case.
 WORD_GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -19,7 +19,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: lineage ends there, a lost executor costs a re-read."""
-    return save_table(df, workspace(df.sparkSession, name))
+    path = workspace(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
