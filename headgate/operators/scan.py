@@ -64,8 +64,9 @@ def below_path(path: str, prefix: str) -> Column:
 
     A sibling whose name merely begins alike is not below it.
     """
-    folder = prefix.rstrip("/")
-    return (F.col(path) == folder) | F.col(path).startswith(f"{folder}/")
+    if prefix.endswith("/"):
+        return F.col(path).startswith(prefix)
+    return (F.col(path) == prefix) | F.col(path).startswith(f"{prefix}/")
 
 
 def first_by(df: DataFrame, order: list[str], n: int) -> DataFrame:
