@@ -26,10 +26,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Delete a table made by `kept` once everything derived from it has been written."""
-    spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, folder)
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from headgate.llm.tables import dropped, kept
+from headgate.llm.tables import dropped, kept, removed
 from headgate.session import workspace
 
 #: The parts of a record.
@@ -34,8 +34,10 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), *BASE32)
 
 
-def plan_records(pages: DataFrame) -> DataFrame:
-    """`uid, page_id, url, html, digest, kind, original` per page; `original` is what a revisit refers to.
+def plan_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`uid, page_id, url, html, digest, kind, of` per page, and the table that it reads.
+
+    `of` is the record that a revisit refers to.
 
     Of pages with equal payloads (null is empty) that with the smallest `page_id` is the response;
     a null id comes last, of repeated ids one row is taken.
@@ -47,7 +49,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
     firsts = named.groupBy("digest", F.octet_length("html").alias("size")).agg(first)
     joined = named.withColumn("size", F.octet_length("html")).join(firsts, ["digest", "size"])
     kind = F.when(F.col("uid") == F.col("first.uid"), "response").otherwise("revisit")
-    return joined.select("uid", "page_id", "url", "html", "digest", kind.alias("kind"), F.col("first.uid").alias("of"), F.col("first.page_id").alias("original"))
+    return joined.select("uid", "page_id", "url", "html", "digest", kind.alias("kind"), F.col("first.uid").alias("of")), named
 
 
 def _field(name: str, value: Column) -> Column:
@@ -57,7 +59,7 @@ def _field(name: str, value: Column) -> Column:
 
 def write_warc(pages: DataFrame, path: str) -> None:
     """Write the archives of `pages` (`page_id, url, html`) below `path`, one file per partition."""
-    plan = plan_records(pages)
+    plan, named = plan_records(pages)
     response = F.col("kind") == "response"
     body = F.when(response, F.col("html")).otherwise("")
     uri = F.concat(F.lit("<urn:x-page:"), F.col("uid").cast("string"), F.lit(">"))
@@ -70,6 +72,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
         _field("Content-Length", F.octet_length(body).cast("string")), F.lit(BREAK), body,
     )
     plan.select(record.alias("value")).write.option("lineSep", END).text(path)
+    dropped(named)
 
 
 def _candidates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -146,11 +149,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     owned = owned.select("file", "block", "seq", "at", owner).where("owner IS NOT NULL")
     inside = F.col("at") < F.col("owner.at") + len(MAGIC) + F.col("owner.head") + len(END) + F.col("owner.size")
     pieces = owned.where(inside).join(lines, ["file", "block", "seq"])
-    whole = pieces.groupBy("file", F.col("owner.at").alias("at"), F.col("owner.head").alias("head"), F.col("owner.size").alias("size")).agg(
+    # Nearly every record lies in one piece; only those with the magic inside are put together.
+    alone = F.octet_length("raw") >= F.col("owner.head") + len(END) + F.col("owner.size")
+    alone = (F.col("at") == F.col("owner.at")) & alone
+    single = pieces.where(alone).select("file", "at", F.col("owner.head").alias("head"), F.col("owner.size").alias("size"), F.col("raw").alias("all"))
+    whole = pieces.where(~alone).groupBy("file", F.col("owner.at").alias("at"), F.col("owner.head").alias("head"), F.col("owner.size").alias("size")).agg(
         F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts")
     )
     joined = F.expr(f"aggregate(slice(parts, 2, size(parts)), parts[0].raw, (all, p) -> concat(all, encode('{MAGIC[:-2]}\\r\\n', 'UTF-8'), p.raw))")
-    whole = whole.select("file", "at", "head", "size", joined.alias("all"))
+    whole = single.union(whole.select("file", "at", "head", "size", joined.alias("all")))
     head = F.substring("all", 1, F.col("head").cast("int")).cast("string")
     payload = F.substring("all", (F.col("head") + len(END) + 1).cast("int"), F.col("size").cast("int"))
     return whole.select(
@@ -171,6 +178,7 @@ def archived(pages: DataFrame) -> DataFrame:
     path = workspace(spark, "op2-warc")
     write_warc(pages, path)
     found = read_warc(spark, path)
+    removed(spark, path)  # read: what follows uses the pieces, not the files
     kind = pages.schema["page_id"].dataType
     measured = F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")
     found = kept(found.select(F.col("page_id").cast(kind).alias("page_id"), "kind", "record_id", "refers_id", *measured), "op2-found")
