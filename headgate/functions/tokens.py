@@ -76,10 +76,13 @@ def is_start(token: Column) -> Column:
 
 
 def lsn_sort_key(lsn: Column) -> Column:
-    """Fixed-width form of a `hi/lo` hexadecimal log position; text order is number order."""
+    """Fixed-width form of a `hi/lo` hexadecimal log position; text order is number order.
+
+    NULL for text of any other form.
+    """
     hi = F.lpad(F.upper(F.substring_index(lsn, "/", 1)), 8, "0")
     lo = F.lpad(F.upper(F.substring_index(lsn, "/", -1)), 8, "0")
-    return F.concat(hi, lo)
+    return F.when(lsn.rlike("^[0-9A-Fa-f]{1,8}/[0-9A-Fa-f]{1,8}$"), F.concat(hi, lo))
 
 
 def lsn_number(lsn: Column) -> Column:

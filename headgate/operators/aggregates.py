@@ -21,13 +21,18 @@ def entity_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _literal(text: str) -> str:
+    """Text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ordered_text(df: DataFrame, group: list[str], value: str, order: str, name: str, sep: str = ",") -> DataFrame:
     """One delimited text per group, in order.
 
     The text is one cell, so this is for groups known to be small (the columns of a key, the
     nations of a region). `ordered_text_parts` serves groups of any size.
     """
-    text = F.expr(f"listagg(`{value}`, '{sep}') WITHIN GROUP (ORDER BY `{order}`)")
+    text = F.expr(f"listagg(`{value}`, {_literal(sep)}) WITHIN GROUP (ORDER BY `{order}`)")
     return df.groupBy(*group).agg(text.alias(name))
 
 
@@ -41,7 +46,7 @@ def ordered_text_parts(
     task of. `group` and `order` together must be unique.
     """
     numbered = plan_rows(df, [*group, *order]).index(df, "_pos")
-    text = F.expr(f"listagg(`{value}`, '{sep}') WITHIN GROUP (ORDER BY `_pos`)")
+    text = F.expr(f"listagg(`{value}`, {_literal(sep)}) WITHIN GROUP (ORDER BY `_pos`)")
     return numbered.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
 
 

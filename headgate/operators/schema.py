@@ -13,6 +13,16 @@ from headgate.functions.fitting import fitted, json_value_as
 from headgate.functions.typenames import field_type, struct_from_json_schema
 
 
+def _quoted(name: str) -> str:
+    """A column by its whole name, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _json_path(name: str) -> str:
+    """Path of one field, dots and blanks being part of its name."""
+    return f"$['{name}']" if "'" not in name else f'$["{name}"]'
+
+
 def apply_schema(df: DataFrame, fields: dict[str, str], resolve: Callable[[str], str] = field_type) -> DataFrame:
     """Select and cast to declared types, in declared order.
 
@@ -21,7 +31,7 @@ def apply_schema(df: DataFrame, fields: dict[str, str], resolve: Callable[[str],
     present = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (fitted(F.col(name), present[name], resolve(t)) if name in present else F.lit(None).cast(resolve(t))).alias(name)
+            (fitted(F.col(_quoted(name)), present[name], resolve(t)) if name in present else F.lit(None).cast(resolve(t))).alias(name)
             for name, t in fields.items()
         ]
     )
@@ -34,9 +44,10 @@ def dynamic_to_typed(df: DataFrame, source: str, fields: dict[str, str]) -> Data
     any value can become text.
     """
     parsed = df.withColumn("_row", F.try_parse_json(F.col(source)))
-    others = [c for c in df.columns if c != source]
-    texts = parsed.select(*others, *[F.try_variant_get("_row", f"$.{name}", "string").alias(name) for name in fields])
-    return texts.select(*others, *[json_value_as(F.col(name), field_type(t)).alias(name) for name, t in fields.items()])
+    others = [_quoted(c) for c in df.columns if c != source]
+    texts = parsed.select(*others, *[F.try_variant_get("_row", _json_path(name), "string").alias(name) for name in fields])
+    typed = [json_value_as(F.col(_quoted(name)), field_type(t)).alias(name) for name, t in fields.items()]
+    return texts.select(*others, *typed)
 
 
 def typed_to_dynamic(df: DataFrame, name: str = "row") -> DataFrame:

@@ -241,3 +241,20 @@ def test_conformance(spark):
         ("id", "uncastable"): 0, ("id", "null_in_non_null"): 1, ("name", "uncastable"): 0,
         ("n", "uncastable"): 1, ("gone", "missing"): 3,
     }
+
+
+def test_names_with_dots_and_separators_that_mean_something_elsewhere(spark):
+    from headgate.functions.tokens import lsn_sort_key
+    from headgate.functions.values import parse_list
+    from headgate.operators.aggregates import ordered_text
+    from headgate.operators.schema import apply_schema, dynamic_to_typed
+
+    df = spark.createDataFrame([('{"a.b": 1, "c": {"d": 2}}', "x|y", "0/16B3748", 1)], "j STRING, l STRING, p STRING, `q.r` INT")
+    row = dynamic_to_typed(df.select("j"), "j", {"a.b": "integer", "c.d": "integer"}).first()
+    assert (row[0], row[1]) == (1, None)
+    assert apply_schema(df, {"q.r": "bigint"}).first()[0] == 1
+    assert df.select(parse_list(F.col("l"), "|")).first()[0] == ["x", "y"]
+    keys = df.select(lsn_sort_key(F.col("p")), lsn_sort_key(F.lit("123456789/0")), lsn_sort_key(F.lit("no"))).first()
+    assert tuple(keys) == ("00000000016B3748", None, None)
+    both = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "g INT, v STRING, o INT")
+    assert ordered_text(both, ["g"], "v", "o", "t", "'\\").first().t == "a'\\b"
