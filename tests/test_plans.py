@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from headgate import catalogue
 from headgate.operators.incremental import incremental, resume
 from headgate.operators.joins import interval_join
 from headgate.operators.scan import below_path, first_per_group, read_range
@@ -88,7 +89,7 @@ def test_intervals_are_an_equi_join(spark, sd):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not re.match("t[0-9]", n) and n not in PYTHON_QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in catalogue.QUERIES if not re.match("t[0-9]", n) and n not in PYTHON_QUERIES))
 def test_no_query_leaves_the_jvm_or_multiplies_tables(name, spark, sd):
     plan = plan_of(entry.queries()[name](spark, sd))
     for shape in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -6,8 +6,8 @@ import __spark_entry__ as entry
 from headgate import catalogue
 from tests.comparison import differences, oracle
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalogue.QUERIES
+SQL = catalogue.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -48,5 +48,5 @@ UNREGISTERED = ("s8", "s11", "t6")
 
 
 def test_inventory_is_covered():
-    covered = {name.split("_")[0] for name in catalogue.QUERIES}
+    covered = {name.split("_")[0] for name in QUERIES}
     assert covered == set(INVENTORY) - set(UNREGISTERED) and len(INVENTORY) == 75
