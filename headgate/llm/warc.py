@@ -57,8 +57,12 @@ def _field(name: str, value: Column) -> Column:
     return F.when(value.isNull(), F.lit("")).otherwise(F.concat(F.lit(f"{name}: "), F.regexp_replace(value, r"[\r\n]", " "), F.lit(BREAK)))
 
 
-def write_warc(pages: DataFrame, path: str) -> None:
-    """Write the archives of `pages` (`page_id, url, html`) below `path`, one file per partition."""
+def write_warc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write the archives of `pages` (`page_id, url, html`) below `path`, one file per partition.
+
+    A compressed file is read by one task, so it should be no larger than a partition; with
+    `compression` none, readers may split it anywhere.
+    """
     plan, named = plan_records(pages)
     response = F.col("kind") == "response"
     body = F.when(response, F.col("html")).otherwise("")
@@ -71,7 +75,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
         _field("WARC-Profile", F.when(~response, PROFILE)), _field("X-Page-Id", F.col("page_id").cast("string")),
         _field("Content-Length", F.octet_length(body).cast("string")), F.lit(BREAK), body,
     )
-    plan.select(record.alias("value")).write.option("lineSep", END).text(path)
+    plan.select(record.alias("value")).write.option("lineSep", END).option("compression", compression).text(path)
     dropped(named)
 
 
@@ -167,7 +171,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def archived(pages: DataFrame) -> DataFrame:
+def archived(pages: DataFrame, compression: str = "gzip") -> DataFrame:
     """`page_id, payload_bytes, payload_digest, record_type, refers_to` of pages written and read back.
 
     Size and digest are taken from the payload that was read, for a revisit from that of the
@@ -176,7 +180,7 @@ def archived(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     path = workspace(spark, "op2-warc")
-    write_warc(pages, path)
+    write_warc(pages, path, compression)
     found = read_warc(spark, path)
     removed(spark, path)  # read: what follows uses the pieces, not the files
     kind = pages.schema["page_id"].dataType
