@@ -13,7 +13,7 @@ import pytest
 import corpus_pipeline
 from headgate.llm.language import identify, keep_identified
 from headgate.llm.lattice import VOCABULARY, Lattice, first_weights, pieces_of, score
-from headgate.llm.licences import scan
+from headgate.llm.licences import TEXTS, scan
 from headgate.llm.mixing import domain_labels, fit_rates, mix, with_rates
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.tables import read
@@ -168,6 +168,21 @@ def test_licences(spark):
     assert scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_licences_of_full_texts(spark):
+    full = {(name, len(text) > 1500): text for name, text in TEXTS}
+    mit = "Copyright (c) 2020 Some One\n\n" + full["MIT", False]
+    header = "# " + full["Apache-2.0", False].strip().replace("\n", "\n# ") + "\n"
+    code = "".join(f"def f{i}(x{i}):\n    return x{i} + {i}\n" for i in range(60))
+    plain = [(f"p/{i}", f"some other text of the {i} kind is here and it goes on to the end of line {i}") for i in range(40)]
+    files = [("m/terms", mit), ("m/x", "nothing here"), ("h/a.py", "import os\n" + header + code), ("h/x", "nothing here"), ("g/terms", full["GPL-3.0", True]), ("g/x", "nothing here"),
+             ("b/terms", full["BSD-2-Clause", False]), ("q/notes", code + full["Apache-2.0", True] + code)]
+    rows = scan(spark.createDataFrame(files + plain, "path string, text string")).collect()
+    got = {r.path: (r.licence, r.source) for r in rows}
+    assert {p: got[p] for p, _ in files} == {"m/terms": ("MIT", "own"), "m/x": ("MIT", "inherited"), "h/a.py": ("Apache-2.0", "own"), "h/x": (None, None), "g/terms": ("GPL-3.0", "own"),
+                                             "g/x": ("GPL-3.0", "inherited"), "b/terms": ("BSD-2-Clause", "own"), "q/notes": ("Apache-2.0", "own")}
+    assert all(got[p] == (None, None) for p, _ in plain)
+
+
 def test_pipeline_takes_odd_rows(spark, sd, odd_documents):
     docs = odd_documents
     for _, stage in corpus_pipeline.STAGES[:-1]:
