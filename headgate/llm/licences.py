@@ -34,6 +34,8 @@ LICENCE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense)[^/]*$"
 UNITS = r"[\r\n]+|(?<=[.!?])[ \t]+"
 #: Parts of a template's length by which the windows of a file move on, where its units are shorter.
 STEPS = 32
+#: Terms up to which those of the compared parts are broadcast to be counted in all files.
+BROADCAST_TERMS = 50_000
 #: A character that stands between units once the text's own are taken out.
 MARK = "\uE000"
 #: Statements by which licences are given, several for one licence.
@@ -78,7 +80,7 @@ class Vectors:
     """
 
     def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], documents: int, threshold: float):
-        self.unknown = math.log(2 + documents)
+        self.documents = documents
         self.idf = {t: math.log((2 + documents) / (1 + frequency.get(t, 0))) for _, text in templates for t in terms(text)}
         self.postings: list[tuple[str, int, float]] = []
         self.needed: set[str] = set()
@@ -113,6 +115,17 @@ def weigh(files: DataFrame, templates: tuple[tuple[str, str], ...], threshold: f
     return Vectors(templates, frequency, files.count(), threshold)
 
 
+def _others(files: DataFrame, terms: DataFrame, documents: int) -> DataFrame:
+    """`term, idf` of terms that no template has, counted over all files."""
+    every = files.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    if terms.count() <= BROADCAST_TERMS:
+        every = every.join(F.broadcast(terms), "term")
+        counts = every.groupBy("term").count()
+    else:
+        counts = every.groupBy("term").count().join(terms, "term")
+    return counts.select("term", F.log(F.lit(2.0 + documents) / (1 + F.col("count"))).alias("idf"))
+
+
 def _windows(files: DataFrame, sizes: DataFrame, vectors: Vectors, postings: DataFrame, threshold: float) -> DataFrame:
     """`row, template, start, whole, value`: the words of windows and whole files that may come near a template.
 
@@ -153,9 +166,12 @@ def matches(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
     windows = _windows(files, sizes, vectors, postings, threshold).select("row", F.lit(None).cast("int").alias("unit"), "start", F.col("template").alias("of"), "value")
     part = ["row", "unit", "start", "of"]
     bags = units.union(windows).select(*part, F.explode("value").alias("term")).groupBy(*part, "term").count()
+    bags = kept(bags, "op6-bags")
     # The templates' terms and postings are a few thousand rows, whatever is scanned.
-    weighed = bags.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("count") * F.coalesce("idf", F.lit(vectors.unknown)))
-    weighed = kept(weighed.select(*part, "term", "w"), "op6-weighed")
+    other = kept(bags.select("term").distinct().join(F.broadcast(idf), "term", "left_anti"), "op6-terms")
+    idf = kept(idf.union(_others(files, other, vectors.documents)), "op6-idf")
+    weighed = bags.join(idf, "term").select(*part, "term", (F.col("count") * F.col("idf")).alias("w"))
+    weighed = kept(weighed, "op6-weighed")
     norms = weighed.groupBy(*part).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     # A window is compared with the template that it has the length of, a unit with all.
     met = weighed.join(F.broadcast(postings), "term").where("of IS NULL OR of = template")

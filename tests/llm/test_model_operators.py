@@ -183,6 +183,17 @@ def test_licences_of_full_texts(spark):
     assert all(got[p] == (None, None) for p, _ in plain)
 
 
+def test_common_words_weigh_little_in_licence_statements(spark):
+    common = [(f"c/{i}", f"It was word{i} for that.") for i in range(300)]
+    said = [("a/1", "It was released under the MIT License."), ("a/2", "All rights reserved for that."), ("z/3", "Released rights quokka wombat numbat bilby.")]
+    got = {r.path: r for r in scan(spark.createDataFrame(common + said, "path string, text string")).collect()}
+    n, df = len(common + said), {"it": 301, "was": 301, "released": 2, "under": 1, "the": 1, "mit": 1, "license": 1}
+    idf = {t: math.log((2 + n) / (1 + c)) for t, c in df.items()}
+    want = math.sqrt(sum(idf[t] ** 2 for t in ("released", "under", "the", "mit", "license")) / sum(x * x for x in idf.values()))
+    assert got["a/1"].licence == "MIT" and got["a/1"].cosine == pytest.approx(want) and want > 0.95
+    assert got["a/2"].licence == "proprietary" and got["z/3"].licence is None
+
+
 def test_pipeline_takes_odd_rows(spark, sd, odd_documents):
     docs = odd_documents
     for _, stage in corpus_pipeline.STAGES[:-1]:
