@@ -14,6 +14,7 @@ aggregation to one number per domain and writes nothing.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,8 @@ from headgate.llm.tables import kept, words
 #: Labelled documents that the classifier is fitted on (those first by hash), and words it may know.
 LABELLED = 20_000
 WORDS = 50_000
-#: How far a word's count in some domain must lie above chance to tell: in standard deviations,
-#: and as a multiple: a common word may be a little more common somewhere and tells little.
-TELLING = 6.0
-TIMES = 3.0
-#: Part of the domain's documents that must have the word.
-SHARE = 0.01
+#: Standard deviations above chance, in the domain where a word lies highest, at which it counts by half.
+TELLING = 3.0
 #: Occurrences by chance that are added to every word: a word of one group of near copies tells little.
 PSEUDO = 20.0
 ROUNDS = 40
@@ -81,17 +78,21 @@ def learn(documents: DataFrame, labelled: DataFrame, domains: list[str], limit:
     sizes = [have.get(d, 0) for d in domains]
     total = max(sum(sizes), 1)
     here = sum((F.col(f"c{k}") for k in range(len(domains))), F.lit(0))
-    far, telling, logs, absent = F.lit(False), F.lit(0.0), [], []
+    everywhere = (here + PSEUDO) / (total + 1 + 2 * PSEUDO)
+    telling, shares = F.lit(0.0), []
     for k, size in enumerate(sizes):
         count, expected, chance = F.col(f"c{k}"), here * (size / total), PSEUDO * (size + 1) / (total + 1)
-        sure = (count - expected) / F.sqrt(expected + 1.0)
-        far = far | ((sure > TELLING) & (count > TIMES * expected) & (count > SHARE * size))
-        telling = F.greatest(telling, sure)
-        share = (count + chance) / (size + 1 + 2 * chance)
-        logs.append(F.log(share / (1 - share)).alias(f"w{k}"))
-        absent.append(F.sum(F.log(1 - share)))
-    known = kept(counts.where(far).orderBy(telling.desc(), "bucket").limit(WORDS), "op5-known")
-    base = known.agg(*absent).first()
+        telling = F.greatest(telling, (count - expected) / F.sqrt(expected + 1.0))
+        shares.append((count + chance) / (size + 1 + 2 * chance))
+    # Every word tells, by its log odds against those of all domains; what may be chance shrinks them.
+    sure = 1 / (1 + F.pow(TELLING / F.greatest(telling, F.lit(1e-3)), F.lit(4.0)))
+    logs = [(sure * (F.log(s / (1 - s)) - F.log(everywhere / (1 - everywhere)))).alias(f"w{k}") for k, s in enumerate(shares)]
+    absent = [(sure * (F.log(1 - s) - F.log(1 - everywhere))).alias(f"a{k}") for k, s in enumerate(shares)]
+    known = kept(counts.select("bucket", telling.alias("telling"), *logs, *absent).orderBy(F.desc("telling"), "bucket").limit(WORDS), "op5-known")
+    base = known.agg(*[F.sum(f"a{k}") for k in range(len(domains))]).first()
+    logs = [f"w{k}" for k in range(len(domains))]
+    if base[0] is None:
+        warnings.warn("no labelled document has a text: every posterior is the prior", stacklevel=2)
     prior = [math.log((n + 1) / (total + len(domains))) + (a or 0.0) for n, a in zip(sizes, base, strict=True)]
     return Classifier(domains, prior, known.select("bucket", *logs))
 

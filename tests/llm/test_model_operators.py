@@ -113,6 +113,16 @@ def test_mixing(spark, sd, odd_documents, no_documents):
     assert {round(r.p_good, 6) for r in mix(odd_documents, labels.limit(0)).collect()} == {round(1 / 3, 6)}
 
 
+def test_few_labels_tell_domains_apart(spark, sd):
+    labels = domain_labels(read(spark, sd, "labels"))
+    rows = mix(read(spark, sd, "documents"), labels).collect()
+    whole = sum(r.n_tokens for r in rows)
+    for domain, share in {"good": 0.9, "low": 0.09, "toxic": 0.01}.items():
+        assert sum(r.rate * r.n_tokens * r[f"p_{domain}"] for r in rows) == pytest.approx(share * whole, abs=0.01 * whole)
+    toxic = {r.doc_id for r in labels.where("domain = 'toxic'").collect()}
+    assert sum(r.rate for r in rows if r.doc_id in toxic) < 0.8 * len(toxic)
+
+
 def test_archives(spark):
     fake = MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     htmls = ["<p>é</p>", "<p>é</p>", None, "", fake, f"x{fake}{fake}", MAGIC, "\r\n\r\n" + MAGIC * 3, "x" * 100_000, fake, "\r\n\r\n"]
