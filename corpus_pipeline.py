@@ -1,6 +1,6 @@
 """A training corpus from raw documents: five stages, each a written table that the next one reads.
 
-Language identification rejects documents in no learned language, SimHash leaves one document of
+Language identification rejects documents it can name no language for, SimHash leaves one document of
 each group of near-duplicates, contaminated documents go, personal data is masked, and every
 document that is left gets the rate at which it is drawn so that the domains meet their targets.
 """

@@ -163,9 +163,10 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame) -> DataFrame:
-    """The documents in a language that was learned, with their own columns.
+    """The documents that a learned language can be named for, with their own columns.
 
-    Rejected are those it can't name a language for: null texts and those without a letter. How
+    Rejected are null texts and those without a letter. Text in a language that was not learned is
+    given the nearest learned one and stays. How
     well the named one fits is reported (`gain`) and rejects nothing: a rare text may be clean.
     """
     own = documents.columns
