@@ -15,6 +15,7 @@ from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
 from headgate.llm.repeats import without_repeats
+from headgate.llm.resample import resample
 from headgate.llm.simhash import near_duplicates
 from headgate.llm.tables import read
 from headgate.llm.warc import archived
@@ -116,6 +117,53 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH tab AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), dw AS (
+  SELECT doc_id, unnest(ws) AS w FROM d
+), bw AS (
+  SELECT unnest(ws) AS w FROM b
+), hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, CAST(octet_length(encode(w)) AS BIGINT)),
+                  lambda i: CAST('0x' || substr(hex(encode(w)), CAST(1 + 2 * i AS INT), 2) AS BIGINT))),
+              lambda c, x: xor(c >> 8, crc[xor(c % 256, x) + 1])), 4294967295) % 10000 AS k
+  FROM (SELECT w FROM dw UNION SELECT w FROM bw), tab
+), s AS (
+  SELECT k, count(*) AS n FROM dw JOIN hashed USING (w) GROUP BY k
+), t AS (
+  SELECT k, count(*) AS n FROM bw JOIN hashed USING (w) GROUP BY k
+), gain AS (
+  SELECT k, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * CAST((SELECT count(*) FROM dw) + 10000 AS DOUBLE)
+                             / ((s.n + 1) * CAST((SELECT count(*) FROM bw) + 10000 AS DOUBLE)))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (k)
+), weighed AS (
+  SELECT doc_id, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight FROM dw JOIN hashed USING (w) JOIN gain USING (k) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN weighed USING (doc_id)
+), drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM drawn) * 10 // 100 THEN rank END AS rank
+FROM scored s LEFT JOIN drawn USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_archive": op2_warc_archive,
@@ -127,9 +175,11 @@ QUERIES: dict[str, Query] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
     "op2_warc_archive": OP2_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }
