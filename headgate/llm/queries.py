@@ -11,6 +11,7 @@ from headgate.llm.decontaminate import contamination
 from headgate.llm.language import identify
 from headgate.llm.lattice import score
 from headgate.llm.licences import scan
+from headgate.llm.mainpage import extract
 from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
@@ -117,6 +118,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -175,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_main_text": op12_main_text,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
