@@ -15,6 +15,7 @@ from headgate.llm.mainpage import extract
 from headgate.llm.mixing import domain_labels, mix
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.personal import find_personal
+from headgate.llm.repair import damage, repair, reports
 from headgate.llm.repeats import without_repeats
 from headgate.llm.resample import resample
 from headgate.llm.simhash import near_duplicates
@@ -118,6 +119,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return reports(repair(damage(conversations)), conversations)
+
+
 def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
@@ -180,6 +186,7 @@ QUERIES: dict[str, Query] = {
     "op8_permutation_index": op8_permutation_index,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_main_text": op12_main_text,
     "op13_importance_resampling": op13_importance_resampling,
 }
