@@ -124,6 +124,89 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports(repair(damage(conversations)), conversations)
 
 
+def _edited(candidates: list[tuple[str, int, str, str]]) -> str:
+    """SQL of the least of some audits, each an audit so far, a cost to add, a letter and the turn that it leaves.
+
+    An audit is one text, compared as such: nine digits of cost, the letters, a mark, the turns.
+    """
+    cells = [f"CASE WHEN {when} THEN lpad(CAST(CAST(substr({x}, 1, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({x}, 10, strpos({x}, chr(1)) - 10) || '{letter}' || substr({x}, strpos({x}, chr(1))) || {turn} END"
+             if letter else x for x, cost, letter, turn, when in ((*c, "true") if len(c) == 4 else c for c in candidates)]
+    return f"list_min([{', '.join(cells)}])"
+
+
+def _inserted(rows: str) -> str:
+    """SQL of audits `n, s, u, a` (states nothing, system, user, assistant) after the inserts that may follow them."""
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    first = _edited([("u", 0, "", ""), *((x, 3, "I", user) for x in ("n", "s", "a"))])
+    second = _edited([("a", 0, "", ""), ("u", 3, "I", assistant)])
+    third = _edited([("u", 0, "", ""), ("a", 3, "I", user)])
+    return f"SELECT * REPLACE ({third} AS u) FROM (SELECT * REPLACE ({second} AS a) FROM (SELECT * REPLACE ({first} AS u) FROM ({rows})))"
+
+
+_SAID = "chr(10) || role || ':' || text"
+_STAYS = "coalesce(fault, '') NOT IN ('b', 'd')"
+_SHORT = "CASE WHEN fault = 't' THEN 3 ELSE 0 END"
+
+
+def _rerole(x: str, role: str) -> tuple:
+    return (x, f"3 + {_SHORT}", "R", f"chr(10) || '{role}:' || text", _STAYS)
+
+
+def _keep(x: str, initial: str) -> tuple:
+    return (x, _SHORT, "K", _SAID, f"{_STAYS} AND left(role, 1) = '{initial}'")
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS key
+  FROM conversations
+), m AS (
+  SELECT k.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, CAST(octet_length(key) AS BIGINT)),
+                    lambda i: CAST('0x' || substr(hex(key), CAST(1 + 2 * i AS INT), 2) AS BIGINT))),
+                lambda c, x: xor(c >> 8, crc[xor(c % 256, x) + 1])), 4294967295) % 20 AS kind
+  FROM k, tab
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM m
+), placed AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged
+), f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' END AS fault,
+         left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+  FROM placed
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '000000000' || chr(1) AS n, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a
+  FROM f WHERE f.i = 1
+  UNION ALL
+  SELECT conv_id, i,
+         {_edited([("n", 4, "D", "''")])} AS n,
+         {_edited([("s", 4, "D", "''"), _keep("n", "s")])} AS s,
+         {_edited([("u", 4, "D", "''"), *(_keep(x, "u") for x in "nsa"), *(_rerole(x, "user") for x in "nsa")])} AS u,
+         {_edited([("a", 4, "D", "''"), _keep("u", "a"), _rerole("u", "assistant")])} AS a
+  FROM ({_inserted("SELECT w.conv_id, f.i, w.n, w.s, w.u, w.a, f.role, f.text, f.fault FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1")})
+), ended AS (
+  SELECT conv_id, least(n, a) AS best FROM ({_inserted("SELECT w.* FROM walk w JOIN (SELECT conv_id, max(i) AS i FROM f GROUP BY conv_id) z ON z.conv_id IS NOT DISTINCT FROM w.conv_id AND z.i = w.i")})
+), told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(substr(best, 1, 9), '0') AS BIGINT) AS cost, coalesce(substr(best, 10, strpos(best, chr(1)) - 10), '') AS audit,
+       sha256(coalesce(substr(best, strpos(best, chr(1)) + 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
@@ -194,5 +277,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
     "op2_warc_archive": OP2_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op13_importance_resampling": OP13_SQL,
 }
