@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headgate.catalogue import query
-from headgate.operators.aggregates import exact_sum
+from headgate.functions.values import exact_sum
 from headgate.operators.joins import array_member_counts, array_member_join, interval_join, join_chain, left_chain_counts
 from headgate.sources.tables import full_scan
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headgate.catalogue import query
-from headgate.operators.aggregates import exact_sum
+from headgate.functions.values import exact_sum
 from headgate.operators.scan import union_all
 from headgate.plans.rows import paginate, plan_rows
 from headgate.plans.splits import (

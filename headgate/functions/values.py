@@ -69,8 +69,15 @@ def ntz_literal(text: str) -> Column:
 
 
 def plain_decimal(c: Column) -> Column:
-    """Shortest plain text of an exact decimal: no exponent, no trailing zeros."""
+    """Shortest plain text of an exact decimal: no exponent, no trailing zeros.
+
+    Outside ANSI mode Spark's own text of a small decimal has an exponent, `1.5E-9`: its digits then
+    stand after as many zeros as the exponent says, less one.
+    """
     text = c.cast("string")
+    power = lambda i: F.regexp_extract(text, r"^(-?)([0-9])[.]?([0-9]*)E-([0-9]+)$", i)
+    zeros = F.repeat(F.lit("0"), F.when(power(4) != "", power(4)).otherwise("1").cast("int") - 1)
+    text = F.when(F.contains(text, F.lit("E-")), F.concat(power(1), F.lit("0."), zeros, power(2), power(3))).otherwise(text)
     return F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
@@ -142,3 +149,24 @@ def parse_list(c: Column, sep: str = ",") -> Column:
     """Delimited text as an array: parts trimmed, empty parts and 'NULL' left out."""
     parts = F.transform(F.split(c, re.escape(sep)), trim_space)
     return F.filter(parts, lambda x: (x != "") & (x != "NULL"))
+
+
+#: Magnitudes below which a value is summed with twelve decimals, and below which as a whole number.
+WITH_DECIMALS, WHOLE = 1e16, 1e27
+
+
+def exact_sum(c: Column) -> Column:
+    """Sum as a double that does not depend on the order of addition, whatever the magnitudes up to 1e27.
+
+    Doubles of 1e16 and more have no decimals, so they are summed as whole numbers and the others
+    with twelve decimals, both exactly. Larger ones, infinities and NaN are added as doubles: a NaN
+    makes the sum NaN. Nulls are left out; without a value the sum is null.
+    """
+    size = F.abs(c.cast("double"))
+    small, large = size < WITH_DECIMALS, (size >= WITH_DECIMALS) & (size < WHOLE)
+    parts = [
+        F.sum(F.when(small, c).cast("decimal(28,12)")).cast("double"),
+        F.sum(F.when(large, c).cast("decimal(28,0)")).cast("double"),
+        F.sum(F.when(size >= WHOLE, c).cast("double")),
+    ]
+    return F.when(F.count(c) > 0, sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headgate.functions.values import ntz_micros
+from headgate.functions.values import exact_sum, ntz_micros
 from headgate.operators.scan import union_all
 from headgate.plans.rows import plan_rows
 
@@ -50,11 +50,6 @@ def ordered_text_parts(
     return numbered.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
 
 
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Sum of values with `scale` decimals that does not depend on the order of addition."""
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
-
-
 def counters(df: DataFrame, labels: list[str], size: Column, failed: Column) -> DataFrame:
     """Records, bytes and errors per label set."""
     return df.groupBy(*labels).agg(
@@ -67,12 +62,12 @@ def counters(df: DataFrame, labels: list[str], size: Column, failed: Column) ->
 def histogram(df: DataFrame, labels: list[str], value: str, bounds: list[float]) -> DataFrame:
     """Cumulative buckets, sum and count per label set, one row per bound and one for +Inf.
 
-    Values are summed to the microsecond.
+    A missing value is in no bucket and no sum; NaN is in the last bucket and makes the sum NaN.
     """
     c = F.col(value)
     wide = df.groupBy(*labels).agg(
         *[F.count_if(c <= b).alias(f"b{i}") for i, b in enumerate(bounds)],
-        exact_sum(c, 6).alias("sum"),
+        exact_sum(c).alias("sum"),
         F.count(c).alias("count"),
     )
     rows = [F.struct(F.lit(f"{b:g}").alias("le"), F.col(f"b{i}").alias("bucket")) for i, b in enumerate(bounds)]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.names import column, unused
 from headgate.functions.typenames import spark_logical_type
 from headgate.operators.scan import union_all
 from headgate.plans.statistics import cursor_column
@@ -21,7 +22,7 @@ def profile(df: DataFrame, entity: str) -> DataFrame:
     """
     measures, rows = [F.count(F.lit(1)).alias("n")], []
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
+        c = column(f.name)
         measures.append(F.count(c).alias(f"v{i}"))
         is_text = isinstance(f.dataType, T.StringType)
         if is_text:
@@ -95,13 +96,14 @@ def key_report(df: DataFrame, keys: list[str], entity: str) -> DataFrame:
 
     Rows are counted per key before anything is compared, so a repeated key is never gathered.
     """
-    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    absent, copies = unused(df, "_absent"), unused(df, "_n")
+    missing = reduce(Column.__or__, [column(k).isNull() for k in keys])
+    per_key = df.withColumn(absent, missing).groupBy(*map(column, keys), absent).agg(F.count(F.lit(1)).alias(copies))
     return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("row_count"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.count_if(F.col("_n") > 1).alias("repeated_keys"),
-        F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("null_rows"),
+        F.count_if(F.col(copies) > 1).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(F.col(absent), F.col(copies))), F.lit(0)).alias("null_rows"),
     ).select(
         F.lit(entity).alias("entity"),
         F.lit(",".join(keys)).alias("key"),
@@ -113,9 +115,8 @@ def key_report(df: DataFrame, keys: list[str], entity: str) -> DataFrame:
 def duplicates(df: DataFrame, keys: list[str], where: Column | None = None) -> DataFrame:
     """Keys that break uniqueness, optionally among the rows of a partial index; NULL keys never clash."""
     rows = df if where is None else df.where(where)
-    return (
-        rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
-    )
+    there = reduce(Column.__and__, [column(k).isNotNull() for k in keys])
+    return rows.where(there).groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
 @dataclass(frozen=True)
@@ -138,7 +139,7 @@ def orphans(fk: ForeignKey) -> DataFrame:
     names = [f"k{i}" for i in range(len(fk.child_keys))]
 
     def keys_of(df: DataFrame, keys: list[str], child: int) -> DataFrame:
-        columns = [F.col(c).alias(n) for c, n in zip(keys, names)]
+        columns = [column(c).alias(n) for c, n in zip(keys, names)]
         return df.select(*columns, F.lit(child).alias("_child"), F.lit(1 - child).alias("_parent")).dropna(subset=names)
 
     both = keys_of(fk.child, fk.child_keys, 1).unionByName(keys_of(fk.parent, fk.parent_keys, 0))
@@ -168,29 +169,41 @@ class Relation:
     """How rows of one table lead to rows of another: `table` holds both keys.
 
     A foreign key leads from parent to child in the child's table. A link table may repeat a
-    pair, so its pairs are made distinct.
+    pair, so its pairs are made distinct. A key is a column or, in order, several.
     """
 
     src_entity: str
     dst_entity: str
     table: DataFrame
-    src_key: str
-    dst_key: str
+    src_key: str | list[str]
+    dst_key: str | list[str]
     link: bool = False
 
 
+def node_key(key: str | list[str]) -> Column:
+    """The text that names a row by its key; null if a part of it is.
+
+    One column is its own text. Several are each its length, a colon and its text, one after the
+    other, so that no two tuples have one name, whatever characters they hold.
+    """
+    if isinstance(key, str):
+        return column(key).cast("string")
+    parts = [column(k).cast("string") for k in key]
+    return F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)])
+
+
 def relationship_edges(relations: list[Relation]) -> DataFrame:
-    """`(src_entity, src_key, dst_entity, dst_key)` of all relations."""
+    """`(src_entity, src_key, dst_entity, dst_key)` of all relations; rows with a null in a key have no edge."""
     parts = []
     for r in relations:
-        pairs = r.table.select(F.col(r.src_key).alias("s"), F.col(r.dst_key).alias("d")).dropna()
+        pairs = r.table.select(node_key(r.src_key).alias("s"), node_key(r.dst_key).alias("d")).dropna()
         pairs = pairs.distinct() if r.link else pairs
         parts.append(
             pairs.select(
                 F.lit(r.src_entity).alias("src_entity"),
-                F.col("s").cast("string").alias("src_key"),
+                F.col("s").alias("src_key"),
                 F.lit(r.dst_entity).alias("dst_entity"),
-                F.col("d").cast("string").alias("dst_key"),
+                F.col("d").alias("dst_key"),
             )
         )
     return union_all(parts)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headgate.functions.names import column
 from headgate.functions.tokens import (
     MAX_AGE_SECONDS,
     POSITION_FIELDS,
@@ -29,16 +30,27 @@ def incremental(df: DataFrame, ts: str | None, cursor: str | None, limit: int |
     return rows if limit is None else rows.limit(limit)
 
 
-def after_position(ts: str, key: str, t: str, last: object) -> Column:
-    """`(ts, key) > (t, last)`. The plain bound on `ts` is stated too, so that the scan can prune."""
+def after_position(ts: str, key: str, t: str | None, last: object) -> Column:
+    """Rows after `(t, last)` in the order of timestamp, missing ones at the end, then key.
+
+    The plain bound on `ts` is stated too, so that the scan can prune. Without `t` the position is
+    among the rows that have no timestamp.
+    """
+    c, k = column(ts), column(key)
+    if t is None:
+        return c.isNull() & (k > F.lit(last))
     at = F.lit(t)
-    return (F.col(ts) >= at) & ((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(key) > F.lit(last))))
+    return ((c >= at) & ((c > at) | ((c == at) & (k > F.lit(last))))) | c.isNull()
 
 
 def resume(df: DataFrame, ts: str, key: str, t: str | None, last: object, limit: int) -> DataFrame:
-    """The next page after `(t, last)`; ties at the page edge are neither lost nor repeated."""
-    rows = df if t is None else df.where(after_position(ts, key, t, last))
-    return rows.orderBy(ts, key).limit(limit)
+    """The next page after the row at `(t, last)`; without both, the first page.
+
+    Ties at the page edge are neither lost nor repeated. Rows without a timestamp come last, by key;
+    a page that ends among them gives the position `(None, last)`. `key` is unique and not null.
+    """
+    rows = df if t is None and last is None else df.where(after_position(ts, key, t, last))
+    return rows.orderBy(column(ts).asc_nulls_last(), column(key)).limit(limit)
 
 
 def after_lsn(df: DataFrame, lsn: str, position: str) -> DataFrame:

@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headgate.functions.fitting import fitted, json_value_as
+from headgate.functions.names import column, quoted, unused
 from headgate.functions.typenames import field_type, struct_from_json_schema
 
 
-def _quoted(name: str) -> str:
-    """A column by its whole name, whatever characters it has."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _json_path(name: str) -> str:
     """Path of one field, dots and blanks being part of its name."""
     return f"$['{name}']" if "'" not in name else f'$["{name}"]'
@@ -31,7 +27,7 @@ def apply_schema(df: DataFrame, fields: dict[str, str], resolve: Callable[[str],
     present = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (fitted(F.col(_quoted(name)), present[name], resolve(t)) if name in present else F.lit(None).cast(resolve(t))).alias(name)
+            (fitted(column(name), present[name], resolve(t)) if name in present else F.lit(None).cast(resolve(t))).alias(name)
             for name, t in fields.items()
         ]
     )
@@ -44,9 +40,9 @@ def dynamic_to_typed(df: DataFrame, source: str, fields: dict[str, str]) -> Data
     any value can become text.
     """
     parsed = df.withColumn("_row", F.try_parse_json(F.col(source)))
-    others = [_quoted(c) for c in df.columns if c != source]
+    others = [quoted(c) for c in df.columns if c != source]
     texts = parsed.select(*others, *[F.try_variant_get("_row", _json_path(name), "string").alias(name) for name in fields])
-    typed = [json_value_as(F.col(_quoted(name)), field_type(t)).alias(name) for name, t in fields.items()]
+    typed = [json_value_as(column(name), field_type(t)).alias(name) for name, t in fields.items()]
     return texts.select(*others, *typed)
 
 
@@ -58,8 +54,9 @@ def typed_to_dynamic(df: DataFrame, name: str = "row") -> DataFrame:
 def apply_json_schema(df: DataFrame, source: str, json_schema: str) -> DataFrame:
     """Typed columns from JSON text under a JSON schema; all columns are nullable."""
     struct = struct_from_json_schema(json_schema)
-    parsed = df.withColumn("_row", F.from_json(F.col(source), struct))
-    return parsed.select(*[c for c in df.columns if c != source], "_row.*")
+    row = unused(df, "_row")
+    parsed = df.withColumn(row, F.from_json(column(source), struct))
+    return parsed.select(*[quoted(c) for c in df.columns if c != source], f"{row}.*")
 
 
 @dataclass(frozen=True)
@@ -90,7 +87,7 @@ def conformance_report(df: DataFrame, fields: list[Field]) -> DataFrame:
         if f.name not in present:
             checks.append((f.name, "missing", F.lit(True)))
             continue
-        c = F.col(f.name)
+        c = column(f.name)
         checks.append((f.name, "uncastable", does_not_fit(c, present[f.name], to)))
         if not f.nullable:
             checks.append((f.name, "null_in_non_null", c.isNull()))
@@ -114,8 +111,8 @@ def fallback_report(df: DataFrame, declared: dict[str, str]) -> DataFrame:
     aggs = []
     for i, (name, to) in enumerate(declared.items()):
         aggs += [
-            F.count(name).alias(f"n{i}"),
-            F.count_if(does_not_fit(F.col(name), df.schema[name].dataType, to)).alias(f"b{i}"),
+            F.count(column(name)).alias(f"n{i}"),
+            F.count_if(does_not_fit(column(name), df.schema[name].dataType, to)).alias(f"b{i}"),
         ]
     return df.agg(*aggs).select(
         F.inline(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.values import exact_sum
 from headgate.plans.rows import plan_rows
 from headgate.plans.search import count_cuts_at_or_below, key_types
 from headgate.plans.statistics import TableStats, collect_stats
@@ -96,11 +97,11 @@ class RangeSplits:
             ),
         )
 
-    def report(self, df: DataFrame, amount: str, scale: int = 2) -> DataFrame:
+    def report(self, df: DataFrame, amount: str) -> DataFrame:
         """Actual against planned rows, key bounds and a total per split; empty splits are kept.
 
-        `scale` is the number of decimals of the amounts. One partial aggregation: every split contributes an empty row of its own, so no join
-        with the plan is needed.
+        One partial aggregation: every split contributes an empty row of its own, so no join with
+        the plan is needed.
         """
         key = F.col(self.key)
         rows = df.select(self.index().alias("i"), key.alias("k"), F.col(amount).alias("v"), F.lit(1).alias("one"))
@@ -117,7 +118,7 @@ class RangeSplits:
                 F.sum("one").alias("row_count"),
                 F.min("k").alias("min_key"),
                 F.max("k").alias("max_key"),
-                F.sum(F.col("v").cast(f"decimal(18,{scale})")).cast("double").alias("total"),
+                exact_sum(F.col("v")).alias("total"),
             )
         )
         return actual.select(*self._described(F.col("i")), "row_count", "min_key", "max_key", "total")

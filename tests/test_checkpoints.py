@@ -102,3 +102,16 @@ def test_latest_checkpoint_per_group(spark):
     df = spark.createDataFrame([("e", "g", 1, "a"), ("e", "g", 3, "b"), ("e", "h", 2, "c")], "entity STRING, grp STRING, w INT, token STRING")
     got = {(r.entity, r.grp): r.token for r in latest_checkpoints(df, ["entity", "grp"], ["w"]).collect()}
     assert got == {("e", "g"): "b", ("e", "h"): "c"}
+
+
+def test_pages_go_on_through_rows_without_a_timestamp(spark):
+    from headgate.operators.incremental import resume
+
+    rows = [(i, None if i < 5 else f"2024-01-0{1 + i % 3} 00:00:00") for i in range(12)]
+    df = spark.createDataFrame(rows, "`row.id` long, `at.ts` string").selectExpr("`row.id`", "CAST(`at.ts` AS timestamp_ntz) AS `at.ts`")
+    seen, t, last = [], None, None
+    while page := resume(df, "at.ts", "row.id", t, last, 3).collect():
+        seen += [r[0] for r in page]
+        t, last = page[-1][1] and str(page[-1][1]), page[-1][0]
+        assert len(seen) <= 12
+    assert seen == [6, 9, 7, 10, 5, 8, 11, 0, 1, 2, 3, 4]

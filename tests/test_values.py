@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 from decimal import Decimal
 
 import pytest
@@ -258,3 +259,30 @@ def test_names_with_dots_and_separators_that_mean_something_elsewhere(spark):
     assert tuple(keys) == ("00000000016B3748", None, None)
     both = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "g INT, v STRING, o INT")
     assert ordered_text(both, ["g"], "v", "o", "t", "'\\").first().t == "a'\\b"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plain_decimal_in_both_modes(spark, ansi):
+    cases = {"0.000000001": 9, "-0.000000012300": 12, "0": 12, "1.500": 3, "-100": 0, "123456789.000000001": 9, "0.00000": 5}
+    want = ["0.000000001", "-0.0000000123", "0", "1.5", "-100", "123456789.000000001", "0"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        cells = [V.plain_decimal(F.col(f"c{i}")).alias(f"t{i}") for i in range(len(cases))]
+        row = spark.range(1).select(*[F.lit(t).cast(f"decimal(38,{s})").alias(f"c{i}") for i, (t, s) in enumerate(cases.items())]).select(*cells)
+        assert list(row.first()) == want
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_sums_of_any_size(spark):
+    rows = [("a", 1e13), ("a", 0.00000001), ("a", 0.1), ("b", float("nan")), ("b", 1.0), ("c", 1e17), ("c", 0.5), ("c", 1e27), ("d", None), ("e", float("inf")), ("e", -2.0)]
+    got = {r.k: r.s for r in spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(V.exact_sum(F.col("v")).alias("s")).collect()}
+    assert got["a"] == 1e13 + 0.10000001 and math.isnan(got["b"]) and got["c"] == 1e17 + 0.5 + 1e27 and got["d"] is None and got["e"] == float("inf")
+    from headgate.operators.aggregates import histogram
+    from headgate.plans.splits import range_splits
+
+    rows = spark.createDataFrame([(i, v, "x") for i, (_, v) in enumerate(rows)], "id long, v double, k string")
+    whole = {r.le: (r.bucket, r["count"]) for r in histogram(rows, ["k"], "v", [1, 100]).collect()}
+    assert whole == {"1": (5, 10), "100": (5, 10), "+Inf": (10, 10)}
+    assert [r.row_count for r in range_splits(rows, "id", 2).report(rows, "v").orderBy("split_id").collect()] == [5, 6]
