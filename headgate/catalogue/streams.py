@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from headgate.catalogue import query
 from headgate.session import workspace
 from headgate.sources.tables import full_scan
+from headgate.streaming.delivery import deliver_once
 from headgate.streaming.extract import (
     extract_stream,
-    first_delivery_writer,
     for_each_batch,
     map_batches,
-    read_upserts,
     state_writer,
     stream_table,
-    upsert_writer,
 )
+from headgate.streaming.upserts import read_upserts, upsert_writer
 
 FILES = 4
 
@@ -56,24 +55,47 @@ def _(spark, sd):
     return states_of(spark, sd).agg(F.max("watermark").alias("watermark"))
 
 
-@query("t4_upsert_apply", "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
-def _(spark, sd):
+NEWEST_SQL = "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+MANY = 40
+
+
+def upserted(spark, sd, files: int):
+    """The newest event of every user, applied file by file."""
     base = workspace(spark, "upserts")
-    stream = stream_table(spark, written_in_files(spark, sd), files_per_batch=1)
-    order = ["ts", "event_id"]
+    full_scan(spark, sd, "events").repartition(files, "event_id").write.parquet(f"{base}/in")
+    stream, order = stream_table(spark, f"{base}/in", files_per_batch=1), ["ts", "event_id"]
     for_each_batch(stream, upsert_writer(f"{base}/out", "user_id", order), f"{base}/position").awaitTermination()
     return read_upserts(spark, f"{base}/out", "user_id", order)
 
 
-@query("t5_redelivery", "SELECT * FROM events")
-def _(spark, sd):
+def redelivered(spark, sd, files: int):
+    """The events, every row delivered twice, old and new ones mixed, in files that come one by one."""
     base = workspace(spark, "redelivery")
     events = full_scan(spark, sd, "events")
-    # Every row twice, old and new ones mixed, in files that come one by one.
-    events.unionByName(events).repartition(FILES).write.parquet(f"{base}/in")
+    events.unionByName(events).repartition(files).write.parquet(f"{base}/in")
     stream = stream_table(spark, f"{base}/in", files_per_batch=1)
-    for_each_batch(stream, first_delivery_writer(f"{base}/out", "event_id"), f"{base}/position").awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("batch")
+    deliver_once(stream, "event_id", f"{base}/out", f"{base}/position").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("t4_upsert_apply", NEWEST_SQL)
+def _(spark, sd):
+    return upserted(spark, sd, FILES)
+
+
+@query("t4_many_upserts", NEWEST_SQL)
+def _(spark, sd):
+    return upserted(spark, sd, MANY)
+
+
+@query("t5_redelivery", "SELECT * FROM events")
+def _(spark, sd):
+    return redelivered(spark, sd, FILES)
+
+
+@query("t5_many_redeliveries", "SELECT * FROM events")
+def _(spark, sd):
+    return redelivered(spark, sd, MANY)
 
 
 def shout(batch: pd.DataFrame) -> pd.DataFrame:

@@ -1,4 +1,4 @@
-"""Continuous extraction, batch state, upserts and re-delivery."""
+"""Continuous extraction, batch state and user callbacks."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType
 
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -61,48 +60,3 @@ def state_writer(path: str, ts: str) -> Callable[[DataFrame, int], None]:
         state.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
-
-
-def newest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The newest row of every key, by partial aggregation."""
-    rest = [c for c in df.columns if c != key]
-    newest = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return newest.select(key, "_row.*").select(*df.columns)
-
-
-def upsert_writer(path: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
-    """Per batch the newest row of every key it touches.
-
-    A batch costs what it holds, not what the snapshot holds, and a repeated batch replaces its
-    own files. `read_upserts` merges the batches.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        newest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return write
-
-
-def read_upserts(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
-    """The current row of every key over all applied batches."""
-    return newest_per_key(spark.read.parquet(path).drop("batch"), key, order)
-
-
-def first_delivery_writer(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """Per batch the rows whose key no earlier batch has delivered, one row for each key.
-
-    A row is left out for no other reason: not for its time, however late it comes, and not for a
-    null key, which tells nothing. What was delivered is the key column of the batches before, so a
-    repeated batch replaces its own files.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark, out = batch.sparkSession, f"{path}/batch={batch_id}"
-        keyed = batch.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
-        if batch_id > 0:
-            schema = batch.select(key).schema.add("batch", IntegerType())
-            before = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id).select(key)
-            keyed = keyed.join(before, key, "left_anti")
-        keyed.select(batch.columns).union(batch.where(F.col(f"`{key}`").isNull())).write.mode("overwrite").parquet(out)
-
-    return write

@@ -4,16 +4,16 @@ from pyspark.sql import functions as F
 
 from headgate.operators.envelope import extract
 from headgate.session import workspace
+from headgate.streaming import upserts
+from headgate.streaming.delivery import STATE_SETTINGS, deliver_once
 from headgate.streaming.extract import (
     extract_stream,
-    first_delivery_writer,
     for_each_batch,
     map_batches,
-    read_upserts,
     state_writer,
     stream_table,
-    upsert_writer,
 )
+from headgate.streaming.upserts import manifests, read_upserts, runs_of, upsert_writer
 
 
 def numbered(spark, lo, hi):
@@ -52,14 +52,91 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert sorted((r.k, r.id) for r in before) == [(0, 30), (1, 31), (2, 32), (3, 28), (4, 29)]
 
 
+def test_many_batches_are_few_runs(spark):
+    base, order = workspace(spark, "t"), ["ts", "id"]
+    write = upsert_writer(base, "k", order, buckets=2)
+    rows = numbered(spark, 0, 130).selectExpr("id", "CASE WHEN k < 4 THEN k END AS k", "ts", "id % 3 AS batch", "'x' AS _row")
+    for batch in range(13):
+        write(rows.where(f"(id * 7) % 13 = {batch}"), batch)
+        runs, _ = runs_of(spark, base, manifests(spark, base)[-1])
+        assert len(runs) == (batch + 1).bit_count() and [r.first for r in runs[1:]] == [r.last + 1 for r in runs[:-1]]
+    got = read_upserts(spark, base, "k", order)
+    assert got.columns == ["id", "k", "ts", "batch", "_row"]
+    assert {(r.k, r.id, r.batch) for r in got.collect()} == {(k, i, i % 3) for k, i in [(0, 125), (1, 126), (2, 127), (3, 128), (None, 129)]}
+    # One file of each run for a bucket; what no recent manifest names is gone.
+    folders = upserts.Files(spark, base).names(f"{base}/runs")
+    assert {r.folder(base).split("/")[-1] for r in runs} <= set(folders) and len(folders) <= 7
+    for run in runs:
+        files = upserts.read_runs(spark, base, [run], got.schema).inputFiles()
+        assert len(files) == len({f.split("/")[-2] for f in files}) <= 2
+
+
+@pytest.mark.parametrize("broken", ["write_manifest", "newest_per_key", "forget"])
+def test_a_crash_within_a_batch_changes_nothing(spark, monkeypatch, broken):
+    base, order = workspace(spark, "t"), ["ts", "id"]
+    write = upsert_writer(base, "k", order)
+    parts = [numbered(spark, 10 * i, 10 * i + 10) for i in range(4)]
+    for i in range(3):
+        write(parts[i], i)
+    before, real, calls = sorted(read_upserts(spark, base, "k", order).collect()), getattr(upserts, broken), []
+
+    def crash(*args):
+        calls.append(args)
+        # The first merge of the rows is the batch's own, the second is that with the run before.
+        if broken != "newest_per_key" or len(calls) == 2:
+            raise OSError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(upserts, broken, crash)
+    with pytest.raises(OSError, match="lost"):
+        write(parts[3], 3)
+    monkeypatch.setattr(upserts, broken, real)
+    if broken != "forget":  # the table was swapped before that
+        assert sorted(read_upserts(spark, base, "k", order).collect()) == before
+    write(parts[3], 3)
+    assert sorted(r.id for r in read_upserts(spark, base, "k", order).collect()) == [35, 36, 37, 38, 39]
+
+
+def test_upserts_of_nothing_and_reserved_names(spark):
+    base = workspace(spark, "t")
+    with pytest.raises(ValueError, match="no batch"):
+        read_upserts(spark, base, "k", ["ts"])
+    write = upsert_writer(base, "k", ["ts"])
+    write(numbered(spark, 0, 0), 0)
+    assert read_upserts(spark, base, "k", ["ts"]).count() == 0
+    write(numbered(spark, 0, 0), 1)
+    write(numbered(spark, 0, 3), 2)
+    assert read_upserts(spark, base, "k", ["ts"]).count() == 3
+    with pytest.raises(ValueError, match="__bucket"):
+        write(numbered(spark, 0, 1).withColumn("__bucket", F.lit(1)), 3)
+
+
 def test_redelivered_rows_collapse_and_late_ones_stay(spark):
     base = workspace(spark, "t")
     for lo, hi in [(40, 60), (0, 20), (40, 60), (10, 50)]:
         numbered(spark, lo, hi).write.mode("append").parquet(f"{base}/in")
         stream = stream_table(spark, f"{base}/in", files_per_batch=1)
-        for_each_batch(stream, first_delivery_writer(f"{base}/out", "id"), f"{base}/position").awaitTermination()
+        deliver_once(stream, "id", f"{base}/out", f"{base}/position").awaitTermination()
     ids = [r.id for r in spark.read.parquet(f"{base}/out").orderBy("id").collect()]
     assert ids == list(range(60))
+    assert all(spark.conf.get(name, None) != value for name, value in STATE_SETTINGS.items())
+
+
+def test_state_holds_each_key_once_over_many_batches(spark):
+    base = workspace(spark, "t")
+    rows = numbered(spark, 0, 60).selectExpr("CASE WHEN id >= 5 THEN id END AS `a.key`", "id % 2 AS batch", "ts")
+    rows.unionByName(rows).repartition(12).write.parquet(f"{base}/in")
+    query = deliver_once(stream_table(spark, f"{base}/in", files_per_batch=1), "a.key", f"{base}/out", f"{base}/position")
+    query.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    assert out.columns == rows.columns
+    got = sorted(((r[0] is None, r[0] or 0), r.batch) for r in out.collect())
+    # Rows without a key cannot be told to be the same: both deliveries of them stay.
+    assert got == sorted([((False, i), i % 2) for i in range(5, 60)] + [((True, 0), i % 2) for i in range(5)] * 2)
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    assert len(progress) == 12 and query.lastProgress.stateOperators[0].numRowsTotal == 55
+    written = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators]
+    assert sum(written) == 55  # a batch adds its own new keys, not those of earlier batches
 
 
 def test_an_error_in_a_callback_stops_the_read(spark):
