@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from headgate.catalogue import query
 from headgate.functions.values import exact_sum
-from headgate.operators.joins import array_member_counts, array_member_join, interval_join, join_chain, left_chain_counts
+from headgate.operators.intervals import interval_join
+from headgate.operators.joins import array_member_counts, array_member_join, join_chain, left_chain_counts
 from headgate.sources.tables import full_scan
 
 
@@ -94,3 +95,29 @@ def _(spark, sd):
         .groupBy("s_suppkey", "lo", "hi")
         .agg(F.count(F.lit(1)).alias("lines"), exact_sum(F.col("l_extendedprice")).alias("total"))
     )
+
+
+@query(
+    "j4_nested_intervals",
+    """
+    WITH r AS (
+      SELECT n_nationkey, CAST(CASE WHEN n_nationkey % 4 = 0 THEN 1 ELSE n_nationkey * 9 END AS BIGINT) AS lo,
+             CAST(CASE WHEN n_nationkey % 5 = 0 THEN NULL WHEN n_nationkey % 5 = 1 THEN n_nationkey * 9 + 1 ELSE 9 * n_nationkey + 40 * n_nationkey * n_nationkey END AS BIGINT) AS hi
+      FROM nation
+    )
+    SELECT n_nationkey, lo, hi, count(*) AS lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM lineitem JOIN r ON l_partkey >= lo AND (hi IS NULL OR l_partkey < hi) GROUP BY n_nationkey, lo, hi
+    """,
+)
+def _(spark, sd):
+    """Open, nested and very wide ranges."""
+    n = F.col("n_nationkey")
+    lo = F.when(n % 4 == 0, F.lit(1)).otherwise(n * 9)
+    hi = F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, n * 9 + 1).otherwise(9 * n + 40 * n * n)
+    ranges = full_scan(spark, sd, "nation").select("n_nationkey", lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"))
+    lines = full_scan(spark, sd, "lineitem").select("l_partkey", "l_extendedprice")
+    return (
+        interval_join(lines, "l_partkey", ranges, "lo", "hi")
+        .groupBy("n_nationkey", "lo", "hi")
+        .agg(F.count(F.lit(1)).alias("lines"), exact_sum(F.col("l_extendedprice")).alias("total"))
+    )

@@ -1,4 +1,4 @@
-"""Join shapes: chains, array membership, intervals.
+"""Join shapes: chains and array membership.
 
 No join here forces a broadcast of data. Spark broadcasts a side when its known size is below
 `spark.sql.autoBroadcastJoinThreshold`; otherwise the join is a shuffle join, in which adaptive
@@ -12,9 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LONG_MAX = (1 << 63) - 1
-
-
 def join_chain(base: DataFrame, *steps: tuple[DataFrame, dict[str, str]], how: str = "inner") -> DataFrame:
     """Equi-joins one after the other; each step maps left columns to columns of its table."""
     for other, on in steps:
@@ -64,33 +61,3 @@ def array_member_counts(df: DataFrame, array: str, other: DataFrame, key: str, *
     """
     counted = array_members(df, array, "_m").groupBy("_m").agg(F.count(F.lit(1)).alias("mentions"), *measures)
     return other.join(counted, other[key] == F.col("_m")).drop("_m")
-
-
-def interval_join(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Rows joined to every range with `lo <= key < hi` (BIGINT; a NULL `hi` is open).
-
-    A range of width w goes to the grid of cell size 2^ceil(log2 w), where it touches at most two
-    cells; a row goes to its one cell of each grid in use. That makes it an equi-join of a bounded
-    fan-out whatever the widths, the overlaps and the number of ranges.
-    """
-    end = F.coalesce(F.col(hi), F.lit(LONG_MAX))
-    width = F.try_subtract(end, F.col(lo))
-    level = F.when(width.isNull(), 63).when(width <= 1, 0).otherwise(F.length(F.bin(width - 1)))
-    graded = ranges.where(F.col(lo) < end).withColumn("_level", level.cast("int"))
-    # At most 64 levels exist; without ranges any one of them matches nothing.
-    levels = sorted(r[0] for r in graded.select("_level").distinct().collect()) or [0]
-    cell = "shiftright(CAST({} AS BIGINT), _level)"
-    gridded = graded.withColumn(
-        "_cell",
-        F.explode(
-            F.sequence(
-                F.expr(cell.format(f"`{lo}`")),
-                F.expr(cell.format(f"coalesce(`{hi}`, {LONG_MAX}L) - 1")),
-            )
-        ),
-    )
-    placed = df.withColumn(
-        "_level", F.lit(levels[0]) if len(levels) == 1 else F.explode(F.array(*[F.lit(v) for v in levels]))
-    ).withColumn("_cell", F.expr(cell.format(f"`{key}`")))
-    inside = (F.col(key) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(key) < F.col(hi)))
-    return placed.join(gridded, ["_level", "_cell"]).where(inside).drop("_level", "_cell")

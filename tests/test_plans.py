@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from headgate import catalogue
 from headgate.operators.incremental import incremental, resume
-from headgate.operators.joins import interval_join
+from headgate.operators.intervals import interval_join
 from headgate.operators.scan import below_path, first_per_group, read_range
 from headgate.plans.rows import plan_rows
 from headgate.plans.splits import split_by_hash, split_by_range, split_by_rows

@@ -16,12 +16,18 @@ from headgate.operators.constraints import (
     relationship_edges,
 )
 from headgate.operators.graph import group_report, manifest_walk, resume_traversal, traverse
-from headgate.operators.joins import array_member_counts, array_member_join, interval_join, left_chain_counts
+from headgate.operators import intervals
+from headgate.operators.intervals import interval_join
+from headgate.operators.joins import array_member_counts, array_member_join, left_chain_counts
 from headgate.session import workspace
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_interval_join_agrees_with_brute_force(spark, seed):
+def test_interval_join_agrees_with_brute_force(spark, seed, monkeypatch):
+    if seed:  # so few rows a task that buckets and the hot key are split
+        monkeypatch.setattr(intervals, "LEAST_ROWS", 10 * seed)
+        monkeypatch.setattr(intervals, "MOST_ROWS", 10 * seed)
+        monkeypatch.setattr("headgate.plans.rows.MIN_ROWS_PER_BUCKET", 20)
     rng = random.Random(seed)
     keys = [rng.randrange(-500, 5000) for _ in range(300)] + [42] * 150
     spans = [1, 2, 3, 7, 64, 65, 1000, 6000]
@@ -33,6 +39,20 @@ def test_interval_join_agrees_with_brute_force(spark, seed):
     assert got == sorted((i, r) for i, k in enumerate(keys) for r, lo, hi in ranges if lo <= k and (hi is None or k < hi))
 
 
+def test_a_hot_key_is_dealt_out_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "LEAST_ROWS", 100)
+    monkeypatch.setattr(intervals, "MOST_ROWS", 100)
+    rows = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id ELSE 500 END AS k")
+    ranges = spark.createDataFrame([(1, 0, None), (2, 400, 600), (3, 500, 501)], "r INT, lo BIGINT, hi BIGINT")
+    joined = interval_join(rows, "k", ranges, "lo", "hi")
+    assert joined.count() == 3000 + 2000 + 66 + 2000
+    cuts = spark.createDataFrame([(0, 0, 20), (500, 1, 30)], "cut BIGINT, at BIGINT, parts BIGINT")
+    placed = intervals.as_of(rows, "k", cuts, intervals.plan_rows(cuts, "cut"), ["at", "parts"])
+    dealt = placed.select("at", intervals._spread(F.col("parts")).alias("p")).groupBy("at", "p").count()
+    hot = [r["count"] for r in dealt.where("at = 1").collect()]
+    assert len(hot) == 30 and max(hot) < 2 * sorted(hot)[15]
+
+
 def test_interval_join_of_int_keys_to_wide_ranges(spark):
     rows = spark.createDataFrame([(-5,), (7,), (2147483647,)], "k INT")
     table = spark.createDataFrame([(1, -10**12, 10**12), (2, 0, 10**10), (3, 7, 8)], "r INT, lo BIGINT, hi BIGINT")
