@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,37 @@ def save_table(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for a while; a stream that is started meanwhile keeps them."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+class Files:
+    """The few things that are needed of the file system a folder is on."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self, folder: str) -> list[str]:
+        at = self._path(folder)
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def exists(self, file: str) -> bool:
+        return self._fs.exists(self._path(file))
+
+    def remove(self, folder: str) -> None:
+        self._fs.delete(self._path(folder), True)

@@ -7,13 +7,11 @@ however many batches were before. A key is never forgotten, so no row is left ou
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from headgate.functions.names import column
+from headgate.session import settings
 
 #: Spark's settings for keyed state that is on disk and saved as changes.
 STATE_SETTINGS = {
@@ -22,22 +20,6 @@ STATE_SETTINGS = {
 }
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Settings of the session for as long as a query is being started: a query keeps those it started with."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def first_deliveries(stream: DataFrame, key: str) -> DataFrame:
     """The rows of a stream whose key no row before had; one of those that come together with it.
 

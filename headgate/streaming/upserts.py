@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headgate.functions.names import column, unused
+from headgate.session import Files
 
 BUCKETS = 4
 #: Column of the bucket, which is a folder of a run.
@@ -50,24 +51,6 @@ class Run:
         return f"{path}/runs/{self.first}-{self.last}"
 
 
-class Files:
-    """The few things that a manifest needs of the file system the table is on."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def names(self, folder: str) -> list[str]:
-        at = self._path(folder)
-        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
-
-    def exists(self, file: str) -> bool:
-        return self._fs.exists(self._path(file))
-
-    def remove(self, folder: str) -> None:
-        self._fs.delete(self._path(folder), True)
-
-
 def manifests(spark: SparkSession, path: str) -> list[int]:
     """Batches with a committed manifest, in order."""
     files = Files(spark, path)

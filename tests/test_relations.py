@@ -16,10 +16,10 @@ from headgate.operators.constraints import (
     relationship_edges,
 )
 from headgate.operators.graph import group_report, manifest_walk, resume_traversal, traverse
-from headgate.operators import intervals
+from headgate.operators import graph, intervals
 from headgate.operators.intervals import interval_join
 from headgate.operators.joins import array_member_counts, array_member_join, left_chain_counts
-from headgate.session import workspace
+from headgate.session import settings, workspace
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -153,8 +153,10 @@ def test_traversal_agrees_with_plain_search(spark, seed, limit):
     pairs = [(str(rng.randrange(60)), str(rng.randrange(60))) for _ in range(90)]
     pairs += [("0", str(i)) for i in range(30, 60)] + [("5", "5"), ("6", "0")]
     roots = [("0", "b"), ("1", "a"), ("1", "c")]
-    got = traverse(edges_of(spark, pairs), roots_of(spark, roots), limit)
+    hot = 4 if seed else 1_000_000  # so few that nodes with many edges are split
+    got = traverse(edges_of(spark, pairs), roots_of(spark, roots), limit, hot_edges=hot)
     assert {r.key: (r.depth, r.group_id) for r in got.collect()} == walk(pairs, roots, limit)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("headgate_")]
 
 
 def test_resumed_traversal_is_the_uninterrupted_one(spark):
@@ -197,6 +199,30 @@ def test_manifest_with_a_cycle_and_a_missing_parent(spark):
     }
 
 
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rows = [(f"p{i}", f"p{i - 1}" if i else None, i) for i in range(1000)] + [("p500", "q", 0), ("q", None, 0), ("c1", "c2", 1), ("c2", "c1", 1), ("c3", "c2", 1)]
+    written, real = [], graph.save_table
+    monkeypatch.setattr(graph, "save_table", lambda df, path: written.append(path) or real(df, path))
+    df = spark.createDataFrame(rows, "`p.n` STRING, parent STRING, level INT")
+    got = {(r[0], r.root): (r.walk_level, r.level_ok) for r in manifest_walk(df, "p.n", "parent", "level").collect()}
+    assert sum("/up-" in p for p in written) <= 11
+    assert all(got[f"p{i}", "p0"][0] == i for i in range(1000)) and all(got[f"p{i}", "q"][0] == i - 499 for i in range(500, 1000))
+    assert got["c1", None] == got["c3", None] == (None, False) and len(got) == 1000 + 500 + 1 + 3
+
+
+def test_a_level_moves_only_its_frontier(spark):
+    """Above the edges and the visited nodes there is no exchange; those in the plan belong to what is reached."""
+    state = workspace(spark, "t")
+    pairs = [(str(i), str(j)) for i in range(50) for j in range(i, i + 5)]
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        traverse(edges_of(spark, pairs), roots_of(spark, [("0", "g"), ("1", "h")]), 2, state, by_group=True)
+        for by_group, most in ((False, 1), (True, 2)):
+            with graph.opened(spark, state, 2) as tables:
+                plan = graph.next_level(tables, 2, ["n"], by_group)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") <= most and plan.count("Bucketed: true") == 3
+            assert "Exchange hashpartitioning(known" not in plan and "Exchange hashpartitioning(bucket_key" not in plan
+
+
 def test_edges_drop_missing_keys_and_repeated_links(spark):
     link = spark.createDataFrame([(1, 2), (1, 2), (None, 3)], "a INT, b INT")
     assert [tuple(r) for r in relationship_edges([Relation("s", "d", link, "a", "b", link=True)]).collect()] == [("s", "1", "d", "2")]
