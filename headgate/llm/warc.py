@@ -12,6 +12,8 @@ from it. What is not reachable lies inside a payload and is put back into it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -24,6 +26,8 @@ BREAK = "\r\n"
 MAGIC = "WARC/1.1" + BREAK
 END = BREAK + BREAK
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: What is made of a record's payload.
+Wanted = Callable[[Column], list[Column]]
 BASE32 = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
@@ -46,10 +50,13 @@ def plan_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = pages.select(F.monotonically_increasing_id().alias("uid"), "page_id", F.col("url").cast("string").alias("url"), html.alias("html"))
     named = kept(named.withColumn("digest", base32_sha1(F.encode("html", "UTF-8"))), "op2-pages")
     first = F.min(F.struct(F.col("page_id").isNull().alias("last"), "page_id", "uid")).alias("first")
-    firsts = named.groupBy("digest", F.octet_length("html").alias("size")).agg(first)
-    joined = named.withColumn("size", F.octet_length("html")).join(firsts, ["digest", "size"])
-    kind = F.when(F.col("uid") == F.col("first.uid"), "response").otherwise("revisit")
-    return joined.select("uid", "page_id", "url", "html", "digest", kind.alias("kind"), F.col("first.uid").alias("of")), named
+    narrow = named.select("uid", "page_id", "digest", F.octet_length("html").alias("size"))
+    copied = narrow.groupBy("digest", "size").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Only the copies are told apart; the payloads themselves need not move for it.
+    again = narrow.join(copied, ["digest", "size"]).where("uid <> first.uid").select("uid", F.col("first.uid").alias("of"))
+    joined = named.join(kept(again, "op2-again"), "uid", "left")
+    kind = F.when(F.col("of").isNull(), "response").otherwise("revisit")
+    return joined.select("uid", "page_id", "url", "html", "digest", kind.alias("kind"), "of"), named
 
 
 def _field(name: str, value: Column) -> Column:
@@ -79,10 +86,24 @@ def write_warc(pages: DataFrame, path: str, compression: str = "gzip") -> None:
     dropped(named)
 
 
-def _candidates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """`file, block, seq, at, head, size, next` of what stands between two magics, and a table of the pieces.
+def _header(head: Column, name: str) -> Column:
+    value = F.regexp_extract(F.concat(F.lit(BREAK), head), rf"\r\n(?i:{name}): *([^\r\n]*)", 1)
+    return F.when(value != "", value)
+
+
+def _content(all_: Column, head: Column, size: Column, wanted: Wanted) -> list[Column]:
+    """The fields of a record, given from its header on, with the lengths of header and payload."""
+    text = F.substring(all_, F.lit(1), head.cast("int")).cast("string")
+    payload = F.substring(all_, (head + len(END) + 1).cast("int"), size.cast("int"))
+    names = {"kind": "WARC-Type", "record_id": "WARC-Record-ID", "refers_id": "WARC-Refers-To", "page_id": "X-Page-Id", "digest": "WARC-Payload-Digest"}
+    return [_header(text, header).alias(name) for name, header in names.items()] + wanted(payload)
+
+
+def _candidates(spark: SparkSession, path: str, wanted: Wanted | None) -> tuple[DataFrame, DataFrame]:
+    """`file, block, seq, at, bytes, head, size, next, content` of what stands between two magics, and a table of the pieces.
 
-    `at` is the offset of the magic, `next` where the following record must begin.
+    `at` is the offset of the magic, `bytes` the length of the piece after it, `next` where the
+    following record must begin. `content` is the record's, where the piece would hold all of it.
     """
     lines = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -97,13 +118,20 @@ def _candidates(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     shift = F.coalesce(F.sum("bytes").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("file", "block", shift.alias("shift"))
     head = F.substring_index(F.col("raw").cast("string"), END, 1)
-    narrow = lines.select("file", "block", "seq", step.alias("step"), F.octet_length(head).cast("long").alias("head"), F.regexp_extract(F.concat(F.lit(BREAK), head), r"\r\n(?i:content-length): *([0-9]{1,18})", 1).alias("size"))
+    size = F.expr("try_cast(nullif(size, '') AS bigint)")
+    narrow = lines.withColumn("head", F.octet_length(head).cast("long")).withColumn("size", F.regexp_extract(F.concat(F.lit(BREAK), head), r"\r\n(?i:content-length): *([0-9]{1,18})", 1)).withColumn("size", size)
+    content = F.lit(None).cast("int")
+    if wanted:
+        content = F.when(F.octet_length("raw") >= F.col("head") + len(END) + F.col("size"), F.struct(*_content(F.col("raw"), F.col("head"), F.col("size"), wanted)))
+    narrow = kept(narrow.select("file", "block", "seq", step.alias("step"), "head", "size", content.alias("content")), "op2-narrow")
     placed = narrow.withColumn("inside", F.coalesce(F.sum("step").over(before), F.lit(0))).join(starts, ["file", "block"])
     at = F.col("shift") + F.col("inside") - len(MAGIC)
-    size = F.expr("try_cast(nullif(size, '') AS bigint)")
     end = F.col("at") + len(MAGIC) + F.col("head") + len(END) + F.col("size") + len(END)
-    found = placed.withColumn("at", at).withColumn("size", size).withColumn("next", end)
-    return kept(found.select("file", "block", "seq", "at", "head", "size", "next"), "op2-candidates"), lines
+    found = placed.withColumn("at", at).withColumn("next", end)
+    bytes_ = (F.col("step") - len(MAGIC)).alias("bytes")
+    found = kept(found.select("file", "block", "seq", "at", bytes_, "head", "size", "next", "content"), "op2-candidates")
+    dropped(narrow)
+    return found, lines
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -127,20 +155,17 @@ def reachable(links: DataFrame) -> DataFrame:
     return marked
 
 
-def _header(head: Column, name: str) -> Column:
-    value = F.regexp_extract(F.concat(F.lit(BREAK), head), rf"\r\n(?i:{name}): *([^\r\n]*)", 1)
-    return F.when(value != "", value)
-
-
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, wanted: Wanted | None = None) -> DataFrame:
     """`file, at, kind, record_id, refers_id, page_id, digest, payload` of every record below `path`.
 
-    Files may be split anywhere. A file that does not begin with a record has none; a record whose
-    end is not followed by a record or the end of the file is kept, and what follows it is dropped.
+    With `wanted`, what it makes of a payload stands in the payload's place, and is computed where
+    the payload is read, so that no payload that lies in one piece has to move. Files may be split
+    anywhere. A file that does not begin with a record has none; a record whose end is not followed
+    by a record or the end of the file is kept, and what follows it is dropped.
     """
-    links, lines = _candidates(spark, path)
+    links, lines = _candidates(spark, path, wanted)
     links = links.where("at >= 0")  # what stands before the first magic is not a candidate
-    real = reachable(links)
+    real = reachable(links.select("file", "at", "next"))
     marked = links.join(real.withColumn("real", F.lit(True)), ["file", "at"], "left")
     # The record a piece belongs to is the last real one at or before it, here or in an earlier block.
     own = F.when(F.col("real"), F.struct("at", "head", "size"))
@@ -150,25 +175,25 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     carried = last.select("file", "block", F.max("last").over(earlier).alias("carried"))
     owned = marked.withColumn("here", F.max(own).over(block)).join(carried, ["file", "block"])
     owner = F.coalesce("here", "carried").alias("owner")
-    owned = owned.select("file", "block", "seq", "at", owner).where("owner IS NOT NULL")
+    owned = owned.select("file", "block", "seq", "at", "bytes", "content", owner).where("owner IS NOT NULL")
     inside = F.col("at") < F.col("owner.at") + len(MAGIC) + F.col("owner.head") + len(END) + F.col("owner.size")
-    pieces = owned.where(inside).join(lines, ["file", "block", "seq"])
     # Nearly every record lies in one piece; only those with the magic inside are put together.
-    alone = F.octet_length("raw") >= F.col("owner.head") + len(END) + F.col("owner.size")
-    alone = (F.col("at") == F.col("owner.at")) & alone
-    single = pieces.where(alone).select("file", "at", F.col("owner.head").alias("head"), F.col("owner.size").alias("size"), F.col("raw").alias("all"))
-    whole = pieces.where(~alone).groupBy("file", F.col("owner.at").alias("at"), F.col("owner.head").alias("head"), F.col("owner.size").alias("size")).agg(
+    alone = (F.col("at") == F.col("owner.at")) & (F.col("bytes") >= F.col("owner.head") + len(END) + F.col("owner.size"))
+    owned = kept(owned.where(inside).select("file", "block", "seq", "at", "content", "owner", alone.alias("alone")), "op2-owned")
+    keys = ["file", "block", "seq"]
+    # Known by its size, so that it is the small side of the join with all pieces wherever it is small.
+    broken = kept(owned.where("NOT alone").select(*keys, "at", "owner"), "op2-broken")
+    whole = broken.join(lines, keys).groupBy("file", F.col("owner.at").alias("at"), F.col("owner.head").alias("head"), F.col("owner.size").alias("size")).agg(
         F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts")
     )
     joined = F.expr(f"aggregate(slice(parts, 2, size(parts)), parts[0].raw, (all, p) -> concat(all, encode('{MAGIC[:-2]}\\r\\n', 'UTF-8'), p.raw))")
-    whole = single.union(whole.select("file", "at", "head", "size", joined.alias("all")))
-    head = F.substring("all", 1, F.col("head").cast("int")).cast("string")
-    payload = F.substring("all", (F.col("head") + len(END) + 1).cast("int"), F.col("size").cast("int"))
-    return whole.select(
-        "file", "at", _header(head, "WARC-Type").alias("kind"), _header(head, "WARC-Record-ID").alias("record_id"),
-        _header(head, "WARC-Refers-To").alias("refers_id"), _header(head, "X-Page-Id").alias("page_id"),
-        _header(head, "WARC-Payload-Digest").alias("digest"), payload.alias("payload"),
-    )
+    whole = whole.select("file", "at", "head", "size", joined.alias("all"))
+    content = _content(F.col("all"), F.col("head"), F.col("size"), wanted or (lambda payload: [payload.alias("payload")]))
+    if wanted:
+        single = owned.where("alone").select("file", "at", "content.*")
+        return single.union(whole.select("file", "at", *content))
+    single = owned.where("alone").join(lines, keys).select("file", owned["at"], F.col("owner.head").alias("head"), F.col("owner.size").alias("size"), F.col("raw").alias("all"))
+    return single.union(whole).select("file", "at", *content)
 
 
 def archived(pages: DataFrame, compression: str = "gzip") -> DataFrame:
@@ -181,11 +206,10 @@ def archived(pages: DataFrame, compression: str = "gzip") -> DataFrame:
     spark = pages.sparkSession
     path = workspace(spark, "op2-warc")
     write_warc(pages, path, compression)
-    found = read_warc(spark, path)
+    found = read_warc(spark, path, lambda payload: [F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest")])
     removed(spark, path)  # read: what follows uses the pieces, not the files
     kind = pages.schema["page_id"].dataType
-    measured = F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")
-    found = kept(found.select(F.col("page_id").cast(kind).alias("page_id"), "kind", "record_id", "refers_id", *measured), "op2-found")
+    found = kept(found.select(F.col("page_id").cast(kind).alias("page_id"), "kind", "record_id", "refers_id", "payload_bytes", "payload_digest"), "op2-found")
     responses = found.where("kind = 'response'")
     full = responses.select(F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("d"))
     again = found.where("kind = 'revisit'").join(full, "refers_id")
