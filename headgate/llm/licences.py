@@ -34,8 +34,6 @@ LICENCE_NAME = r"(?i)(?:^|/)(?:licen[cs]e|copying|unlicense)[^/]*$"
 UNITS = r"[\r\n]+|(?<=[.!?])[ \t]+"
 #: Parts of a template's length by which the windows of a file move on, where its units are shorter.
 STEPS = 32
-#: Terms up to which those of the compared parts are broadcast to be counted in all files.
-BROADCAST_TERMS = 50_000
 #: A character that stands between units once the text's own are taken out.
 MARK = "\uE000"
 #: Statements by which licences are given, several for one licence.
@@ -106,24 +104,17 @@ class Vectors:
         return found
 
 
-def weigh(files: DataFrame, templates: tuple[tuple[str, str], ...], threshold: float) -> Vectors:
-    """Document frequencies over all files; only those of template terms reach the driver."""
-    known = sorted({t for _, text in templates for t in terms(text)})
-    have = F.array_intersect(words(F.col("text")), F.array(*map(F.lit, known)))
-    each = files.select(F.explode_outer(have).alias("term")).groupBy("term").count()
-    frequency = {r["term"]: r["count"] for r in each.collect()}
-    return Vectors(templates, frequency, files.count(), threshold)
+def frequencies(files: DataFrame) -> DataFrame:
+    """`term, files`: in how many of all files each term is, counted in one reading of the texts."""
+    every = files.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    return kept(every.groupBy("term").agg(F.count(F.lit(1)).alias("files")), "op6-frequencies")
 
 
-def _others(files: DataFrame, terms: DataFrame, documents: int) -> DataFrame:
-    """`term, idf` of terms that no template has, counted over all files."""
-    every = files.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    if terms.count() <= BROADCAST_TERMS:
-        every = every.join(F.broadcast(terms), "term")
-        counts = every.groupBy("term").count()
-    else:
-        counts = every.groupBy("term").count().join(terms, "term")
-    return counts.select("term", F.log(F.lit(2.0 + documents) / (1 + F.col("count"))).alias("idf"))
+def weigh(counted: DataFrame, documents: int, templates: tuple[tuple[str, str], ...], threshold: float) -> Vectors:
+    """The templates' vectors; only the frequencies of their own terms reach the driver."""
+    known = sorted({t for _, text in templates for t in terms(text)})
+    mine = counted.where(F.col("term").isin(known)).collect()
+    return Vectors(templates, {r["term"]: r["files"] for r in mine}, documents, threshold)
 
 
 def _windows(files: DataFrame, sizes: DataFrame, vectors: Vectors, postings: DataFrame, threshold: float) -> DataFrame:
@@ -156,8 +147,9 @@ def matches(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
 
     A unit has its number; a window has the number of words before it as `start`, a whole file -1.
     """
-    spark, vectors = files.sparkSession, weigh(files, templates, threshold)
-    idf = spark.createDataFrame(sorted(vectors.idf.items()), "term string, idf double")
+    spark, counted = files.sparkSession, frequencies(files)
+    vectors = weigh(counted, files.count(), templates, threshold)
+    idf = counted.select("term", F.log(F.lit(2.0 + vectors.documents) / (1 + F.col("files"))).alias("idf"))
     postings = spark.createDataFrame(vectors.postings, "term string, template int, weight double")
     sizes = spark.createDataFrame([(k, len(terms(text))) for k, (_, text) in enumerate(templates)], "template int, size int")
     some = "(?i)(?<![0-9a-z])(?:" + "|".join(sorted(vectors.needed)) + ")(?![0-9a-z])"
@@ -167,9 +159,6 @@ def matches(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES
     part = ["row", "unit", "start", "of"]
     bags = units.union(windows).select(*part, F.explode("value").alias("term")).groupBy(*part, "term").count()
     bags = kept(bags, "op6-bags")
-    # The templates' terms and postings are a few thousand rows, whatever is scanned.
-    other = kept(bags.select("term").distinct().join(F.broadcast(idf), "term", "left_anti"), "op6-terms")
-    idf = kept(idf.union(_others(files, other, vectors.documents)), "op6-idf")
     weighed = bags.join(idf, "term").select(*part, "term", (F.col("count") * F.col("idf")).alias("w"))
     weighed = kept(weighed, "op6-weighed")
     norms = weighed.groupBy(*part).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
