@@ -68,14 +68,9 @@ def noise(doc_id: Column, seed: int) -> Column:
 
 
 def _before(key: dict, at_or_before: bool = False) -> Column:
-    """Whether a row's key lies before `key` in the order of drawing."""
-    same, found = F.lit(True), F.lit(False)
-    for name in ORDER:
-        # Missing ids are told apart by `nameless`, so a null compares as equal to a null.
-        value = F.lit(key[name]).cast("long")
-        found = found | (same & F.coalesce(F.col(name) < value, F.lit(False)))
-        same = same & F.col(name).eqNullSafe(value)
-    return found | same if at_or_before else found
+    """Whether a row's key lies before `key` in the order of drawing; `nameless` tells a missing id from 0."""
+    mine, other = ("struct(" + ", ".join(cells) + ")" for cells in ([f"coalesce({n}, 0L)" for n in ORDER], [f"{key[n] or 0}L" for n in ORDER]))
+    return F.expr(f"{mine} {'<=' if at_or_before else '<'} {other}")
 
 
 def _key(row) -> tuple:
