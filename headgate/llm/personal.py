@@ -333,7 +333,7 @@ def mask_personal(documents: DataFrame, threshold: float = THRESHOLD) -> DataFra
     own = documents.columns
     plain = documents.toDF(*[f"c{k}" for k in range(len(own))])
     text = f"c{own.index('text')}"
-    marked = candidates(plain, text)
+    marked = kept(candidates(plain, text), "op9-marked")  # found once: for the classifier, and to be masked
     spans = _reported(train(marked.select("candidates")), threshold)
     by_start = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
     found = marked.select(*plain.columns, F.array_sort(by_start).alias("_spans"))
