@@ -17,8 +17,8 @@ group. Equal fingerprints are one node.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headgate.functions.names import unused
 from headgate.llm.components import components
 from headgate.llm.tables import kept
 
@@ -33,7 +34,9 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 BANDS = 3
+#: Levels of a tree for few fingerprints, and how many fingerprints a leaf should hold: more fingerprints get more levels, up to one bit each.
 LEVELS = 7
+LEAF = 64
 #: Stored fingerprints of one leaf that a task compares at once.
 BLOCK = 20_000
 #: Fingerprints from which the vantage points are chosen; they only steer pruning, never results.
@@ -103,11 +106,24 @@ class Tree:
 
     def visits(self, radius: int) -> list[tuple[int, ...]]:
         """Ring differences a visitor may have to its leaf, one of each pair of opposites."""
-        near = range(-radius, radius + 1)
-        within = (d for d in product(near, repeat=len(self.rings)) if sum(map(abs, d)) <= radius)
+        within: list[tuple[int, ...]] = [()]
+        for _ in self.rings:
+            left = [(d, radius - sum(map(abs, d))) for d in within]
+            within = [(*d, step) for d, most in left for step in range(-most, most + 1)]
         return [d for d in within if d > (0,) * len(d)]
 
 
+def levels_for(fingerprints: int, bands: int = BANDS) -> int:
+    """As many levels as keep the leaves of evenly spread fingerprints at `LEAF`, whatever their number."""
+    width = -(-64 // bands)
+    for levels in range(LEVELS, width):
+        sizes = [len(range(i, width, levels)) for i in range(levels)]
+        same = math.prod(sum(math.comb(b, k) ** 2 for k in range(b + 1)) / 4**b for b in sizes)
+        if fingerprints * same <= LEAF:
+            return levels
+    return width
+
+
 def forest(sample: list[int], bands: int = BANDS, levels: int = LEVELS) -> list[Tree]:
     cuts = [64 * i // bands for i in range(bands + 1)]
     return [Tree(list(range(a, b)), sample, levels) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -210,10 +226,11 @@ def _search(radius: int):
     return tasks
 
 
-def near_links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def near_links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, levels: int | None = None) -> DataFrame:
     """`a, b`: links between distinct fingerprints `fp` that join them as all pairs within the radius do."""
     sample = [r[0] & ((1 << 64) - 1) for r in nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(VANTAGE_SAMPLE).collect()]
-    leaves = _blocks(_leaves(nodes.select("fp"), forest(sample), radius // BANDS), block)
+    levels = levels or levels_for(nodes.count())
+    leaves = _blocks(_leaves(nodes.select("fp"), forest(sample, levels=levels), radius // BANDS), block)
     dealt = leaves.repartition("leaf", "block").sortWithinPartitions("leaf", "block", F.col("own").desc())
     return dealt.mapInArrow(_search(radius), "a long, b long").distinct()
 
@@ -236,14 +253,19 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     return printed.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(documents: DataFrame, **options: int) -> DataFrame:
-    """One document of each component, with its own columns: that of the smallest `doc_id`.
+def deduplicate(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """One row of each component, with its own columns: that of the smallest `doc_id`, null ids last.
 
-    Of rows that repeat a kept `doc_id` one stays. Rows without `doc_id` stay: nothing names them.
+    Of several such rows one stays, whichever was read first. Rows are told apart by where they
+    stand, not by their ids: different texts under one id both stay, and copies without an id go.
     """
-    keep = near_duplicates(documents, **options).where("doc_id = component_id").groupBy("doc_id").count()
-    keep = kept(keep.select(F.col("doc_id").alias("kept_id"), (F.col("count") > 1).alias("again")), "op3-kept")
-    found = documents.join(keep, F.col("doc_id") == F.col("kept_id"))
-    once, again = (found.where(c).select(documents.columns) for c in ("NOT again", "again"))
-    nameless = documents.where("doc_id IS NULL")
-    return once.union(again.dropDuplicates(["doc_id"])).union(nameless)
+    row = unused(documents, "_row")
+    stamped = kept(documents.withColumn(row, F.monotonically_increasing_id()), "op3-documents")
+    prints = kept(fingerprints(stamped.select(F.col(row).alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "row"), "op3-prints")
+    ids = stamped.select(F.col(row).alias("row"), F.col("doc_id").isNull().alias("nameless"), "doc_id")
+    first = F.min(F.struct("nameless", "doc_id", "row")).alias("first")
+    nodes = kept(prints.join(ids, "row").groupBy("fp").agg(first), "op3-nodes")
+    label = kept(components(near_links(nodes, radius, block)), "op3-labels")
+    rooted = nodes.join(label, nodes["fp"] == label["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    keep = kept(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)), "op3-kept")
+    return stamped.join(keep, row, "left_semi").drop(row)
