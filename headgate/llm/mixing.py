@@ -19,6 +19,7 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headgate.functions.names import quoted, unused
 from headgate.llm.tables import kept, words
 
 #: Labelled documents that the classifier is fitted on (those first by hash), and words it may know.
@@ -158,9 +159,18 @@ def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] = T
 
 
 def with_rates(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """The documents with their own columns and, after them, what `mix` says of them."""
-    own = documents.columns
-    said = mix(documents, labelled, targets)
-    said = kept(said.select(F.col("doc_id").alias("_of"), *[c for c in said.columns if c not in own]), "op5-rates")
-    joined = documents.join(said, F.col("doc_id").eqNullSafe(F.col("_of")))
-    return joined.select(*[f"`{c}`" for c in own], *[c for c in said.columns if c != "_of"])
+    """The documents with their own columns and, after them, what `mix` says of them.
+
+    A column of the documents keeps its name and value; one of `mix` that would have the same name
+    is called `mixed_` and that.
+    """
+    own = {c.lower() for c in documents.columns}
+    of = unused(documents, "_of")
+    said, names = mix(documents, labelled, targets), []
+    for name in said.columns[1:]:
+        while name.lower() in own:
+            name = f"mixed_{name}"
+        names.append(name)
+    said = kept(said.toDF(of, *names), "op5-rates")
+    joined = documents.join(said, F.col("doc_id").eqNullSafe(F.col(of)))
+    return joined.select(*map(quoted, [*documents.columns, *names]))

@@ -17,7 +17,7 @@ from headgate.llm.licences import TEXTS, scan
 from headgate.llm.mixing import domain_labels, fit_rates, mix, with_rates
 from headgate.llm.permutation import nearest_neighbours
 from headgate.llm.tables import read
-from headgate.llm.warc import MAGIC, archived
+from headgate.llm.warc import MAGIC, archived, read_warc, write_warc
 
 
 def test_languages(spark, sd, odd_documents, no_documents):
@@ -113,6 +113,23 @@ def test_mixing(spark, sd, odd_documents, no_documents):
     assert {round(r.p_good, 6) for r in mix(odd_documents, labels.limit(0)).collect()} == {round(1 / 3, 6)}
 
 
+def test_rates_of_documents_with_columns_of_their_names(spark, odd_documents):
+    documents = odd_documents.selectExpr("*", "-7 AS rate", "-1 AS N_Tokens", "'y' AS mixed_rate", "2 AS _of")
+    rows = with_rates(documents, domain_labels(spark.createDataFrame([(1, 1, 0), (6, 0, 1)], "doc_id long, quality int, toxic int")))
+    assert rows.columns[: len(documents.columns)] == documents.columns
+    assert rows.columns[len(documents.columns) :] == ["mixed_n_tokens", "p_good", "p_low", "p_toxic", "mixed_mixed_rate"]
+    assert all((r.rate, r.N_Tokens, r.mixed_rate, r["_of"]) == (-7, -1, "y", 2) and r.mixed_mixed_rate >= 0 for r in rows.collect())
+
+
+def test_payloads_are_read_back(spark, tmp_path):
+    htmls = ["<p>é</p>", MAGIC * 2 + "x", "", "y" * 5000]
+    pages = spark.createDataFrame([(i, "http://a", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    for compression in ("gzip", "none"):
+        write_warc(pages, f"{tmp_path}/{compression}", compression)
+        got = {int(r.page_id): bytes(r.payload).decode() for r in read_warc(spark, f"{tmp_path}/{compression}").collect()}
+        assert got == dict(enumerate(htmls))
+
+
 def test_few_labels_tell_domains_apart(spark, sd):
     labels = domain_labels(read(spark, sd, "labels"))
     rows = mix(read(spark, sd, "documents"), labels).collect()

@@ -11,7 +11,8 @@ import xxhash
 from headgate.llm.decontaminate import contamination, decontaminate
 from headgate.llm.personal import find_personal, mask_personal
 from headgate.llm.repeats import without_repeats
-from headgate.llm.simhash import deduplicate, fingerprint, near_duplicates
+from headgate.llm.components import components
+from headgate.llm.simhash import deduplicate, fingerprint, levels_for, near_duplicates, near_links
 from headgate.llm.tables import read
 
 WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -216,3 +217,27 @@ def test_whole_table(spark, sd):
     documents = [(r.doc_id, r.text) for r in read(spark, sd, "documents").collect()]
     items = [(r.item_id, r.text) for r in read(spark, sd, "benchmark").collect()]
     assert Counter(map(tuple, rows)) == Counter(contaminated(documents, items))
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve thirteen"
+    rows = [(1, a, 5), (1, b, 6), (None, a, 7), (None, "none of the other words is here", 8), (None, "none of the other words is here", 9), (2, b, 10), (2, b, 10)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, _row int")
+    left = deduplicate(documents)
+    assert left.columns == documents.columns
+    kept_rows = sorted((r.doc_id or 0, r.text) for r in left.collect())
+    assert kept_rows == [(0, rows[3][1]), (1, a), (1, b)]
+
+
+def test_deeper_trees_find_the_same_links_and_leaves_do_not_grow(spark):
+    rng = random.Random(9)
+    prints = [rng.getrandbits(64) for _ in range(150)]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 7))) for p in prints]
+    nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long").distinct()
+    found = []
+    for levels in (None, 8, 13, 22):
+        groups = components(near_links(nodes, levels=levels)).collect()
+        found.append({(r.node, r.root) for r in groups})
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) > 100
+    depths = [levels_for(n) for n in (0, 1000, 200_000, 800_000, 10**7, 10**12)]
+    assert depths == sorted(depths) and depths[0] == 7 and depths[-1] == 22
