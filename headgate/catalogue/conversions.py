@@ -204,6 +204,26 @@ def _(spark, sd):
     return apply_schema(text, declared, source_field_type)
 
 
+@query(
+    "y1_parameterised_types",
+    """
+    SELECT CAST(l_orderkey AS DECIMAL(38,0)) AS l_orderkey, CAST(l_discount AS DECIMAL(20,13)) AS l_discount, [CAST(l_partkey AS INTEGER), CAST(l_suppkey AS INTEGER), NULL] AS keys,
+           [[l_returnflag, 'a, "b"'], [l_linestatus]] AS flags
+    FROM lineitem
+    """,
+)
+def _(spark, sd):
+    lineitem = full_scan(spark, sd, "lineitem")
+    text = lineitem.select(
+        F.col("l_orderkey").cast("string"),
+        F.col("l_discount").cast("string"),
+        F.concat(F.lit("{"), "l_partkey", F.lit(", "), "l_suppkey", F.lit(",NULL}")).alias("keys"),
+        F.concat(F.lit("{{"), "l_returnflag", F.lit(r',"a, \"b\""},{'), "l_linestatus", F.lit("}}")).alias("flags"),
+    )
+    declared = {"l_orderkey": "numeric(38,0)", "l_discount": "numeric(20,13)", "keys": "integer[]", "flags": "text[][]"}
+    return apply_schema(text, declared, source_field_type)
+
+
 @query(
     "y2_dynamic_to_typed",
     r"""

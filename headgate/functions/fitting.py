@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions.tokens import replaced
+
 # Largest value of each integer type.
 INTEGER_MAX = {"tinyint": 127, "smallint": 32_767, "int": 2_147_483_647, "bigint": 9_223_372_036_854_775_807}
 
@@ -62,6 +64,43 @@ def text_as(c: Column, to: str) -> Column:
     return c.try_cast(to)
 
 
+# Fixed value: what the text of an array is made of: braces, commas, quoted and plain elements.
+ARRAY_TOKEN = r'[{},]|"(?:[^"\\]|\\.)*"|[^{},"]+'
+
+
+def _json_text(text: Column) -> Column:
+    return F.concat(F.lit('"'), replaced(text, ("\\", "\\\\"), ('"', '\\"')), F.lit('"'))
+
+
+def array_text_as(c: Column, to: str) -> Column:
+    """The text of an array, `{1,NULL,"a, b"}`, as an array of any depth; NULL if it is none.
+
+    Elements in quotes are text whatever they look like; a backslash stands before a quote or a
+    backslash. Elements that do not fit the type are NULL, as the element NULL is.
+    """
+    tokens = F.regexp_extract_all(c, F.lit(f"(?s)({ARRAY_TOKEN})"), F.lit(1))
+
+    def json(token: Column) -> Column:
+        inner = F.regexp_replace(F.substr(token, F.lit(2), F.length(token) - 2), r"(?s)\\(.)", "$1")
+        plain = F.btrim(token)
+        return (
+            F.when(token == "{", "[").when(token == "}", "]").when(token == ",", ",").when(F.startswith(token, F.lit('"')), _json_text(inner))
+            .when(F.upper(plain) == "NULL", "null").when(plain == "", "").otherwise(_json_text(plain))
+        )
+
+    depth = to.count("array<")
+    element = to[6 * depth : len(to) - depth]
+    texts = "array<" * depth + "string" + ">" * depth
+    # Every character belongs to a token, else the text is no array.
+    whole = (F.array_join(tokens, "") == c) & c.rlike(r"(?s)^\s*\{.*\}\s*$")
+    parsed = F.from_json(F.when(whole, F.array_join(F.transform(tokens, json), "")), texts, {"allowUnquotedControlChars": "true"})
+
+    def fit(value: Column, level: int) -> Column:
+        return F.transform(value, lambda x: fit(x, level - 1)) if level else text_as(value, element) if element != "string" else value
+
+    return fit(parsed, depth)
+
+
 def has_cast(dtype: T.DataType, to: str) -> bool:
     """Whether values of the one type can become values of the other at all."""
     target = T.DataType.fromDDL(to)
@@ -79,7 +118,7 @@ def fitted(c: Column, dtype: T.DataType, to: str) -> Column:
     if not has_cast(dtype, to):
         return F.lit(None).cast(to)
     if isinstance(dtype, T.StringType):
-        return text_as(c, to)
+        return array_text_as(c, to) if isinstance(target, T.ArrayType) else text_as(c, to)
     if isinstance(target, T.IntegralType):
         if isinstance(dtype, T.IntegralType):
             return resized(c, to)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import types as T
 
@@ -92,10 +93,17 @@ SPARK_TO_LOGICAL = {
 JSON_TYPES = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
 
 
+# Shapes of source type names with parameters.
+NUMERIC = re.compile(r"(?:numeric|decimal)\s*\(\s*([0-9]+)\s*(?:,\s*(-?[0-9]+)\s*)?\)", re.IGNORECASE)
+PARAMETERS = re.compile(r"\s*\([^)]*\)")
+
+
 def logical_type(source_type: str) -> str:
     """Logical type of a source type name: exact names first, then the shape of the name."""
     if source_type in SOURCE_TYPES:
         return SOURCE_TYPES[source_type]
+    if NUMERIC.fullmatch(source_type):
+        return "DECIMAL"
     if "char" in source_type:
         return "STRING"
     if "[]" in source_type:
@@ -111,8 +119,19 @@ def field_type(name: str) -> str:
 
 
 def source_field_type(name: str) -> str:
-    """Spark type of a source column."""
-    return LOGICAL_TO_SPARK.get(logical_type(name), "string")
+    """Spark type of a source column, by its name with precision, scale, length and array marks.
+
+    A `numeric(p, s)` that Spark's decimals cannot hold is text, so that no digit is lost. A bare
+    `numeric` has no bounds; it gets nine decimals, and a value that does not fit them is NULL.
+    """
+    name = name.strip()
+    if name.endswith("[]"):
+        return f"array<{source_field_type(name[:-2])}>"
+    if exact := NUMERIC.fullmatch(name):
+        precision, scale = int(exact[1]), int(exact[2] or 0)
+        return f"decimal({precision},{scale})" if 0 <= scale <= precision <= 38 and precision else "string"
+    plain = " ".join(PARAMETERS.sub("", name).split())
+    return LOGICAL_TO_SPARK.get(logical_type(plain.lower() if plain.lower() in SOURCE_TYPES else plain), "string")
 
 
 def spark_logical_type(dtype: T.DataType) -> str:

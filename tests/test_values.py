@@ -199,7 +199,9 @@ def test_json_scalars(spark, text, to, value):
         ("time without time zone", "TIME", "string"), ("timestamp", "TIMESTAMP", "timestamp_ntz"),
         ("timestamptz", "TIMESTAMP_WITH_TZ", "timestamp"), ("uuid", "UUID", "string"), ("jsonb", "JSONB", "string"),
         ("numeric", "DECIMAL", "decimal(38,9)"), ("bytea", "BINARY", "binary"), ("character varying", "STRING", "string"),
-        ("varchar[]", "STRING", "string"), ("integer[]", "ARRAY", "string"), ("mood", "ENUM", "string"),
+        ("varchar[]", "STRING", "array<string>"), ("integer[]", "ARRAY", "array<int>"), ("numeric(20,13)", "DECIMAL", "decimal(20,13)"),
+        ("numeric(38)", "DECIMAL", "decimal(38,0)"), ("decimal( 5 , 2 )", "DECIMAL", "decimal(5,2)"), ("numeric(60,2)", "DECIMAL", "string"), ("numeric(3,-2)", "DECIMAL", "string"),
+        ("text[][]", "ARRAY", "array<array<string>>"), ("numeric(9,2)[]", "ARRAY", "array<decimal(9,2)>"), ("varchar(20)", "STRING", "string"), ("mood", "ENUM", "string"),
         ("ARRAY", "ENUM", "string"), ("interval", "ENUM", "string"), ("text", "TEXT", "string"), ("bit varying", "TEXT", "string"),
     ],
 )
@@ -286,3 +288,21 @@ def test_sums_of_any_size(spark):
     whole = {r.le: (r.bucket, r["count"]) for r in histogram(rows, ["k"], "v", [1, 100]).collect()}
     assert whole == {"1": (5, 10), "100": (5, 10), "+Inf": (10, 10)}
     assert [r.row_count for r in range_splits(rows, "id", 2).report(rows, "v").orderBy("split_id").collect()] == [5, 6]
+
+
+def test_array_texts(spark):
+    cases = [
+        ("{1,2,NULL,x, 4 }", "integer[]", [1, 2, None, None, 4]), ("{}", "integer[]", []), ('{"a, b",NULL,"NULL","q\\"\\\\z",plain text,""}', "text[]", ["a, b", None, "NULL", 'q"\\z', "plain text", ""]),
+        ("{{a,b},{c}}", "text[][]", [["a", "b"], ["c"]]), ("no array", "text[]", None), (None, "text[]", None), ('{"open}', "text[]", None), ("{1.5,12345678901234567890.1234567890123}", "numeric(33,13)[]", [Decimal("1.5"), Decimal("12345678901234567890.1234567890123")]),
+        ('{"line\nbreak",é😀}', "text[]", ["line\nbreak", "é😀"]), ("{t,f,NULL}", "boolean[]", [True, False, None]), ("{a,}", "text[]", None),
+    ]
+    for text, name, want in cases:
+        df = spark.createDataFrame([(text,)], "v STRING")
+        assert apply_schema(df, {"v": name}, source_field_type).first()[0] == want, text
+
+
+def test_parameterised_numbers_lose_nothing(spark):
+    digits = "123456789012345678901234567890"
+    df = spark.createDataFrame([(digits, "1234567.1234567890123", "9" * 60)], "a STRING, b STRING, c STRING")
+    row = apply_schema(df, {"a": "numeric(38,0)", "b": "numeric(20,13)", "c": "numeric(70,2)"}, source_field_type).first()
+    assert list(row) == [Decimal(digits), Decimal("1234567.1234567890123"), "9" * 60]
