@@ -12,9 +12,11 @@ from headgate.operators.incremental import (
     decode_checkpoints,
     incremental,
     latest_checkpoints,
+    read_from,
     resume,
     stale_checkpoints,
 )
+from headgate.operators.scan import union_all
 from headgate.sources.tables import full_scan
 
 LSN_STEP = 1 << 24
@@ -97,6 +99,34 @@ def _(spark, sd):
     return checkpoint_log(spark, sd).select("event_id", "token")
 
 
+@query(
+    "i5_read_from_token",
+    f"""
+    SELECT 'offset' AS kind, o_orderkey AS key FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 250 OFFSET 777)
+    UNION ALL SELECT 'timestamp', o_orderkey FROM
+      (SELECT o_orderkey FROM orders WHERE (o_orderdate, o_orderkey) > (TIMESTAMP '1998-01-05', 700) ORDER BY o_orderdate, o_orderkey LIMIT 400)
+    UNION ALL SELECT 'lsn', event_id FROM (SELECT event_id FROM events WHERE {LOG_POSITION} > 2 * 4294967296 + 167772160 ORDER BY {LOG_POSITION} LIMIT 400)
+    """,
+)
+def _(spark, sd):
+    """Pages after tokens of three kinds, each told by the token alone."""
+    orders, log = full_scan(spark, sd, "orders"), with_lsn(full_scan(spark, sd, "events"))
+    at = F.struct(rfc3339(F.lit("1998-01-05").cast("timestamp_ntz")).alias("timestamp"), F.lit("700").alias("last_id"))
+    tokens = {
+        "offset": F.struct(F.lit(777).alias("offset"), F.lit(250).alias("limit")),
+        "timestamp": at,
+        "lsn": F.struct(F.lit("2/A000000").alias("lsn"), F.lit("shop").alias("database")),
+    }
+    parts = []
+    for kind, position in tokens.items():
+        created = F.lit("2024-02-01").cast("timestamp_ntz")
+        token = spark.range(1).select(encode_token(F.lit(kind), position, created)).first()[0]
+        table, key = (log, "event_id") if kind == "lsn" else (orders, "o_orderkey")
+        page = read_from(table, token, key, "o_orderdate" if kind == "timestamp" else None, "lsn", 400)
+        parts.append(page.select(F.lit(kind).alias("kind"), F.col(key).alias("key")))
+    return union_all(parts)
+
+
 @query(
     "i5_decode_checkpoints",
     f"""

@@ -225,6 +225,19 @@ def _(spark, sd):
     return shop_edges(spark, sd)
 
 
+@query(
+    "k6_composite_edges",
+    """
+    SELECT 'orders' AS src_entity, CAST(l_orderkey AS VARCHAR) AS src_key, 'lineitem' AS dst_entity,
+           length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey || length(CAST(l_linenumber AS VARCHAR)) || ':' || l_linenumber AS dst_key
+    FROM lineitem
+    """,
+)
+def _(spark, sd):
+    lineitem = full_scan(spark, sd, "lineitem")
+    return relationship_edges([Relation("orders", "lineitem", lineitem, "l_orderkey", ["l_orderkey", "l_linenumber"])])
+
+
 @query("g1_traverse", f"{REACHED_SQL} SELECT entity, key, min(depth) AS depth FROM nodes GROUP BY entity, key")
 def _(spark, sd):
     return traverse(shop_edges(spark, sd), regions_as_roots(spark, sd), 4).select("entity", "key", "depth")

@@ -14,8 +14,10 @@ from headgate.operators.aggregates import (
     ordered_text_parts,
     throughput,
 )
+from headgate.operators.envelope import observed_extract
 from headgate.operators.quality import Rule, quality_events, quality_summary, threshold_check
 from headgate.operators.schema import fallback_report
+from headgate.session import workspace
 from headgate.sources.tables import full_scan
 
 TABLES = [
@@ -180,3 +182,9 @@ def _(spark, sd):
 )
 def _(spark, sd):
     return threshold_check(full_scan(spark, sd, "events"), ["event_type"], "ts", "2024-01-01", 0.0008, 300, 2000)
+
+
+@query("a6_observed", "SELECT count(*) AS records, CAST(sum(strlen(props)) AS BIGINT) AS bytes, max(ts) AS watermark FROM events")
+def _(spark, sd):
+    events = full_scan(spark, sd, "events")
+    return observed_extract(events, workspace(spark, "observed"), F.octet_length("props"), "ts")

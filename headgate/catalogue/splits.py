@@ -16,7 +16,7 @@ from headgate.plans.splits import (
     split_by_rows,
     split_count,
 )
-from headgate.plans.statistics import collect_stats, table_stats
+from headgate.plans.statistics import collect_stats, footer_stats, table_stats
 from headgate.sources.tables import full_scan
 
 REPORT_TARGET = 2_000
@@ -38,6 +38,11 @@ def _(spark, sd):
     )
 
 
+@query("x1_footer_statistics", "SELECT count(*) AS row_count, min(l_orderkey) AS min_key, max(l_orderkey) AS max_key FROM lineitem")
+def _(spark, sd):
+    return footer_stats(spark, f"{sd}/lineitem.parquet", "l_orderkey")
+
+
 @query(
     "x2_range_split",
     """

@@ -59,9 +59,10 @@ def un_url_base64(token: Column) -> Column:
     return F.try_validate_utf8(F.try_to_binary(standard, F.lit("base64")).cast("string"))
 
 
-def encode_token(kind: Column, position: Column, created: Column) -> Column:
-    """Token of a position struct; NULL fields are left out of the JSON."""
-    body = F.struct(kind.alias("type"), position.alias("position"), rfc3339(created).alias("timestamp"))
+def encode_token(kind: Column, position: Column, created: Column, metadata: Column | None = None) -> Column:
+    """Token of a position struct; NULL fields are left out of the JSON. `metadata` is a map of texts."""
+    more = [] if metadata is None else [metadata.alias("metadata")]
+    body = F.struct(kind.alias("type"), position.alias("position"), *more, rfc3339(created).alias("timestamp"))
     return url_base64(F.to_json(body))
 
 

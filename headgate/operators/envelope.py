@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from headgate.functions.names import column
 from headgate.functions.tokens import encode_token, rfc3339
 from headgate.functions.values import epoch_micros, tagged_value
 from headgate.session import save_table
@@ -74,3 +75,22 @@ def extract(
         "records",
         "last_key",
     )
+
+
+def observed_extract(df: DataFrame, path: str, size: Column, ts: str) -> DataFrame:
+    """Write all rows; one row of `records, bytes, watermark` that the write itself has measured.
+
+    Nothing is read again. Spark takes over what a task has observed once, with its committed
+    output, so a task that is run twice does not count twice.
+    """
+    seen = Observation("extraction")
+    measures = [
+        F.count(F.lit(1)).alias("records"),
+        F.coalesce(F.sum(size.cast("bigint")), F.lit(0)).alias("bytes"),
+        F.max(column(ts)).alias("watermark"),
+    ]
+    df.observe(seen, *measures).write.mode("overwrite").parquet(path)
+    found = seen.get
+    kind = df.schema[ts].dataType.simpleString()
+    row = (found["records"], found["bytes"], found["watermark"])
+    return df.sparkSession.createDataFrame([row], f"records BIGINT, bytes BIGINT, watermark {kind}")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headgate.functions.names import column
+from headgate.functions.tokens import encode_token, parse_token
 from headgate.session import Files, save_table, settings, workspace
 
 NODE_SCHEMA = "entity STRING, key STRING, group_id STRING, depth INT"
@@ -173,6 +174,22 @@ def resume_traversal(
     return spark.read.schema(NODE_SCHEMA).parquet(f"{state}/nodes").where(F.col("depth") <= depth)
 
 
+def traversal_token(spark: SparkSession, state: str, depth: int, as_of: str, by_group: bool = False, **metadata: str) -> str:
+    """Token of a traversal that has reached `depth`: the visited nodes and the frontier stay in the state folder that it names."""
+    more = {**metadata, "state": state, "by_group": str(by_group).lower()}
+    pairs = F.create_map(*[F.lit(x) for pair in more.items() for x in pair])
+    position = F.struct(F.lit(depth).alias("current_depth"))
+    return spark.range(1).select(encode_token(F.lit("subgraph"), position, F.lit(as_of).cast("timestamp_ntz"), pairs)).first()[0]
+
+
+def resume_token(spark: SparkSession, token: str, max_depth: int | None = None) -> DataFrame:
+    """Go on with the traversal that a token names."""
+    p = spark.range(1).select(parse_token(F.lit(token)).alias("p")).first()["p"]
+    if p is None or p["type"] != "subgraph" or "state" not in (p["metadata"] or {}):
+        raise ValueError("not the token of a traversal with a state folder")
+    return resume_traversal(spark, p["metadata"]["state"], p["position"]["current_depth"] or 0, max_depth, p["metadata"].get("by_group") == "true")
+
+
 def group_report(nodes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Nodes and deepest level per group; a group that ended before the limit is completed."""
     report = nodes.groupBy("group_id").agg(

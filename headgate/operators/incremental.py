@@ -17,6 +17,7 @@ from headgate.functions.tokens import (
 )
 from headgate.functions.values import ntz_literal, ntz_micros
 from headgate.operators.scan import after_cursor
+from headgate.plans.rows import plan_rows
 from headgate.plans.statistics import cursor_column
 
 
@@ -58,6 +59,29 @@ def after_lsn(df: DataFrame, lsn: str, position: str) -> DataFrame:
     return df.where(lsn_sort_key(F.col(lsn)) > lsn_sort_key(F.lit(position)))
 
 
+def read_from(df: DataFrame, token: str | None, key: str, ts: str | None = None, lsn: str | None = None, limit: int = 1000) -> DataFrame:
+    """The next page of `df` after the position that a token of any kind names, in the order of that kind.
+
+    An offset counts rows in the order of `key`, and its own limit goes before `limit`; a timestamp
+    goes on after its `(ts, key)`; a log position after its `lsn`. Without a token the page is the
+    first one by `ts` and key, or by key alone. A token that says nothing is an error.
+    """
+    asked = df.sparkSession.range(1).select(parse_token(F.lit(token).cast("string")).alias("p"))
+    at = from_rfc3339(F.col("p.position.timestamp")).cast("string").alias("at")
+    found = asked.select("p.type", at, "p.position.offset", "p.position.limit", "p.position.last_id", "p.position.lsn").first()
+    if not token:
+        return df.orderBy(*([column(ts).asc_nulls_last()] if ts else []), column(key)).limit(limit)
+    if found.type == "offset" and found.offset is not None:
+        wanted = found.limit or limit
+        return plan_rows(df, key).slice(df, found.offset, wanted).orderBy(column(key))
+    if found.type == "timestamp" and ts and (found.at or found.last_id) is not None:
+        last = F.lit(found.last_id).cast(df.schema[key].dataType)
+        return resume(df, ts, key, found.at, last, limit)
+    if found.type == "lsn" and lsn and found.lsn is not None:
+        return after_lsn(df, lsn, found.lsn).orderBy(lsn_sort_key(column(lsn)), column(key)).limit(limit)
+    raise ValueError(f"a token of type {found.type} has no position that this read can go on from")
+
+
 def decode_checkpoints(df: DataFrame, token: str, expected: str) -> DataFrame:
     """Typed position of every token.
 
