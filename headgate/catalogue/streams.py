@@ -12,6 +12,7 @@ from headgate.streaming.delivery import deliver_once
 from headgate.streaming.extract import (
     extract_stream,
     for_each_batch,
+    for_each_records,
     map_batches,
     state_writer,
     stream_table,
@@ -50,6 +51,26 @@ def _(spark, sd):
     return states.agg(F.count(F.lit(1)).cast("int").alias("batches"), F.sum("records").alias("records"))
 
 
+RECORDS = 2_500
+
+
+@query(
+    "t2_bounded_records",
+    f"SELECT CAST(ceil(count(*) / {RECORDS}.0) AS INTEGER) AS batches, CAST(least(count(*), {RECORDS}) AS BIGINT) AS most, count(*) AS records FROM events",
+)
+def _(spark, sd):
+    """Batches of a bounded number of records, however large the files are."""
+    base = workspace(spark, "bounded")
+
+    def write(rows, batch_id, part):
+        state_writer(f"{base}/out/of={batch_id}", "ts")(rows, part)
+
+    stream = stream_table(spark, f"{sd}/events.parquet")
+    for_each_records(stream, write, RECORDS, f"{base}/position").awaitTermination()
+    states = spark.read.parquet(f"{base}/out")
+    return states.agg(F.count(F.lit(1)).cast("int").alias("batches"), F.max("records").alias("most"), F.sum("records").alias("records"))
+
+
 @query("t3_watermark", "SELECT max(ts) AS watermark FROM events")
 def _(spark, sd):
     return states_of(spark, sd).agg(F.max("watermark").alias("watermark"))

@@ -1,7 +1,7 @@
 """Splits of a table for parallel extraction.
 
 A split is a number in a column: no row moves, the tag is computed in the scan. Only the
-statistics row and the split bounds (at most `MAX_SPLITS`) are known to the driver.
+statistics row and the split bounds (by default at most `MAX_SPLITS`) are known to the driver.
 """
 
 from __future__ import annotations
@@ -30,12 +30,12 @@ INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 LONG_MAX = (1 << 63) - 1
 
 
-def split_count(rows: int, desired: int = DEFAULT_PARALLELISM, target: int = ROWS_PER_SPLIT) -> int:
-    """One split up to `target` rows; beyond it the desired number, else one per `target` rows."""
+def split_count(rows: int, desired: int = DEFAULT_PARALLELISM, target: int = ROWS_PER_SPLIT, most: int = MAX_SPLITS) -> int:
+    """One split up to `target` rows; beyond it the desired number, else one per `target` rows, and `most` at most."""
     if rows <= target:
         return MIN_SPLITS
     wanted = desired if desired > 0 else -(-rows // target)
-    return max(MIN_SPLITS, min(MAX_SPLITS, wanted))
+    return max(MIN_SPLITS, min(most, wanted))
 
 
 def choose_strategy(dtype: T.DataType | None) -> str:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from headgate.functions.names import unused
+from headgate.plans.search import literal_longs
+from headgate.session import save_table, workspace
+
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table, a file or a folder of files, as a stream."""
@@ -42,12 +47,53 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     )
 
 
-def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Hand every Arrow batch of rows to user code; an error in it fails the read."""
+def for_each_records(stream: DataFrame, fn: Callable[[DataFrame, int, int], None], records: int, checkpoint: str) -> StreamingQuery:
+    """Hand everything available to user code in batches of at most `records` rows, as `fn(rows, batch_id, part)`.
+
+    All parts of a batch but the last have exactly so many rows. A batch is written once, by part, and
+    each part read back, so that a repeated batch has the same parts, and a part never holds more
+    than it should. The driver learns the rows of every partition, not the rows.
+    """
+    if records < 1:
+        raise ValueError("a batch needs at least one record")
+
+    def parts(batch: DataFrame, batch_id: int) -> None:
+        spark, part = batch.sparkSession, unused(batch, "_part")
+        held = save_table(batch.withColumn(part, F.monotonically_increasing_id()), workspace(spark, "records"))
+        task = F.shiftright(part, 33).cast("int")
+        sizes = {r["t"]: r["n"] for r in held.groupBy(task.alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        starts = list(accumulate((sizes.get(t, 0) for t in range(max(sizes, default=0) + 1)), initial=0))
+        at = F.get(literal_longs(starts), task) + F.col(part).bitwiseAND((1 << 33) - 1)
+        path = workspace(spark, "parts")
+        held.withColumn(part, F.floor(at / records)).write.partitionBy(part).parquet(path)
+        for number in range(-(-starts[-1] // records)):
+            fn(spark.read.schema(batch.schema).parquet(f"{path}/{part}={number}"), batch_id, number)
+
+    return for_each_batch(stream, parts, checkpoint)
+
+
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, records: int | None = None) -> DataFrame:
+    """Hand batches of rows to user code; an error in it fails the read.
+
+    A batch is what Arrow brings, or with `records` exactly so many rows, fewer only at the end of
+    a partition.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            yield fn(batch)
+            if records is None:
+                yield fn(batch)
+                continue
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= records:
+                rows = pd.concat(waiting, ignore_index=True)
+                full = len(rows) // records * records
+                for at in range(0, full, records):
+                    yield fn(rows.iloc[at : at + records].reset_index(drop=True))
+                waiting = [rows.iloc[full:]]
+        if sum(map(len, waiting)):
+            yield fn(pd.concat(waiting, ignore_index=True))
 
     return df.mapInPandas(run, schema)
 

@@ -99,6 +99,10 @@ def test_split_count(rows, desired, target, expected):
     assert split_count(rows, desired, target) == expected
 
 
+def test_more_splits_than_the_default_if_wished():
+    assert split_count(10**12, 5_000) == 32 and split_count(10**12, 5_000, most=10_000) == 5_000
+
+
 def test_strategy_follows_the_key_type(spark):
     schema = spark.createDataFrame([], "a INT, b STRING, c BIGINT, d SMALLINT").schema
     assert [choose_strategy(schema[c].dataType) for c in "abcd"] == [

@@ -1,14 +1,16 @@
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from headgate.operators.envelope import extract
-from headgate.session import workspace
+from headgate.session import settings, workspace
 from headgate.streaming import upserts
 from headgate.streaming.delivery import STATE_SETTINGS, deliver_once
 from headgate.streaming.extract import (
     extract_stream,
     for_each_batch,
+    for_each_records,
     map_batches,
     state_writer,
     stream_table,
@@ -40,6 +42,30 @@ def test_batches_are_bounded(spark):
     assert str(max(r.watermark for r in states)) == "2024-01-01 00:01:29"
 
 
+def test_batches_hold_a_bounded_number_of_records(spark):
+    base, seen = workspace(spark, "t"), []
+    numbered(spark, 0, 95).withColumn("_part", F.lit("own")).repartition(4).write.parquet(f"{base}/in")
+
+    def take(rows, batch_id, part):
+        assert rows.columns == ["id", "k", "ts", "_part"]
+        seen.append((batch_id, part, [r.id for r in rows.collect()]))
+
+    for_each_records(stream_table(spark, f"{base}/in", files_per_batch=3), take, 10, f"{base}/position").awaitTermination()
+    assert sorted(i for _, _, ids in seen for i in ids) == list(range(95))
+    for batch_id in {b for b, _, _ in seen}:
+        sizes = [len(ids) for b, _, ids in seen if b == batch_id]
+        assert sizes[:-1] == [10] * (len(sizes) - 1) and 0 < sizes[-1] <= 10
+    with pytest.raises(ValueError, match="at least one"):
+        for_each_records(stream_table(spark, f"{base}/in"), take, 0, f"{base}/other")
+
+
+def test_callbacks_over_a_number_of_records(spark):
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        rows = spark.range(0, 103, 1, 2).select("id")
+        sizes = [r.n for r in map_batches(rows, lambda b: pd.DataFrame({"n": [len(b)], "s": [b["id"].sum()]}), "n BIGINT, s BIGINT", records=10).collect()]
+    assert sorted(sizes) == sorted([10] * 5 + [1] + [10] * 5 + [2])
+
+
 def test_a_repeated_batch_changes_nothing(spark):
     base = workspace(spark, "t")
     write = upsert_writer(base, "k", ["ts", "id"])
