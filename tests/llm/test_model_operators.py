@@ -228,3 +228,18 @@ def test_pipeline_takes_odd_rows(spark, sd, odd_documents):
         assert docs.columns == odd_documents.columns
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sd)
     assert {r.doc_id for r in last.collect()} == {None, 1, 6, 7, 8, 9} and "rate" in last.columns
+
+
+def test_pipeline_of_no_rows_and_of_clashing_columns(spark, sd, no_documents, odd_documents):
+    docs = no_documents
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sd)
+        assert docs.columns[: len(no_documents.columns)] == no_documents.columns and docs.count() == 0
+    clashing = odd_documents.selectExpr("doc_id", "text", "lang", "source", "n_chars", "1 AS row", "2 AS rate", "3 AS fp", "4 AS n_tokens", "5 AS c0", "6 AS masked", "7 AS _spans", "8 AS component_id", "9 AS n_hit")
+    docs = clashing
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sd)
+        assert docs.columns[: len(clashing.columns)] == clashing.columns
+    rows = docs.collect()
+    assert {r.doc_id for r in rows} == {None, 1, 6, 7, 8, 9} and all((r.row, r.rate, r.fp, r.n_tokens, r.c0, r.masked, r.n_hit) == (1, 2, 3, 4, 5, 6, 9) for r in rows)
+    assert all(r.mixed_rate >= 0 and r.mixed_n_tokens > 0 for r in rows)
