@@ -3,6 +3,11 @@
 Language identification rejects documents it can name no language for, SimHash leaves one document of
 each group of near-duplicates, contaminated documents go, personal data is masked, and every
 document that is left gets the rate at which it is drawn so that the domains meet their targets.
+
+All stages but the last return the columns they were given, whatever these are called; the last adds
+its own, with `mixed_` before a name that is taken. Null, empty and letterless texts go in the first
+stage, as no language can be named for them. Rows without an id, and rows that share one, are rows of
+their own: of copies one stays, with the smallest id, if any has one. An empty table stays empty.
 """
 
 from __future__ import annotations
