@@ -37,16 +37,16 @@ def _(spark, sd):
     )
 
 
-def written_manifest(spark, sd) -> str:
-    """A manifest file written from the parts; lines of size 50 are cut short."""
+def manifest_cells(name):
+    """The cells of a part's line, with its nomenclature."""
     key = F.col("p_partkey").cast("string")
     parent = F.when(F.col("p_partkey") > 0, F.expr("p_partkey div 10").cast("string")).otherwise("")
-    cells = [
+    return [
         F.length(key).cast("string"),
         parent,
         key,
         F.col("p_brand"),
-        F.concat(F.lit("  "), "p_name", F.lit(" ")),
+        name,
         F.when(F.col("p_size") == 13, "n/a").otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"))),
         F.col("p_type"),
         F.lit(" "),
@@ -56,6 +56,11 @@ def written_manifest(spark, sd) -> str:
         F.lit(""),
         F.lit("drawing"),
     ]
+
+
+def written_manifest(spark, sd) -> str:
+    """A manifest file written from the parts; lines of size 50 are cut short."""
+    cells = manifest_cells(F.concat(F.lit("  "), "p_name", F.lit(" ")))
     line = F.when(F.col("p_size") == 50, F.concat_ws(",", *cells[:5])).otherwise(F.concat_ws(",", *cells))
     header = ",".join(name for name, _, _ in COLUMNS)
     path = workspace(spark, "manifest")
@@ -91,3 +96,21 @@ def _(spark, sd):
 )
 def _(spark, sd):
     return read_manifest(spark, written_manifest(spark, sd))[1]
+
+
+@query(
+    "s7_manifest_quoted",
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS part_number, CASE WHEN p_size <> 13 THEN p_size END AS qty, CASE WHEN p_size <> 14 THEN p_retailprice END AS weight_kg,
+           p_brand || ', "' || p_type || '"' || chr(10) || chr(10) || p_name || chr(10) || ',"' AS nomenclature
+    FROM part
+    """,
+)
+def _(spark, sd):
+    """Names in quotes that hold commas, quotes, line breaks and empty lines; files are read in many blocks."""
+    text = F.concat("p_brand", F.lit(', "'), "p_type", F.lit('"\n\n'), "p_name", F.lit('\n,"'))
+    cells = [c.alias(name) for c, (name, _, _) in zip(manifest_cells(text), COLUMNS, strict=True)]
+    path = workspace(spark, "manifest-quoted")
+    full_scan(spark, sd, "part").select(*cells).write.option("header", "true").option("escape", '"').csv(path)
+    rows, _ = read_manifest(spark, path)
+    return rows.select("part_number", "qty", "weight_kg", "nomenclature")

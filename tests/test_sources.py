@@ -167,3 +167,26 @@ def test_manifest_cells_in_quotes(spark, tmp_path):
     rows, rejects = read_manifest(spark, str(tmp_path / "m.csv"))
     assert {r.part_number: r.nomenclature for r in rows.collect()} == {str(i): n for i, n in enumerate(names)}
     assert rejects.count() == 0
+
+
+def test_manifest_is_as_one_reader_would_read_it(spark, tmp_path):
+    """Against the CSV reader that takes a file whole, with blocks of a few bytes."""
+    import random
+
+    from headgate.session import settings
+
+    pick = random.Random(5)
+    cells = ["a", "", '"q"', '"two\nlines"', '"a ""b"", c\n\n"', '5" bolt', '"x"y', " ", '""', '"tail" ', "\\", '"\\"']
+    for k in range(4):
+        lines = [",".join(pick.choices(cells, k=13 if pick.random() < 0.9 else 5)) for _ in range(60)]
+        (tmp_path / f"m{k}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    names = [n for n, _, _ in COLUMNS]
+    whole = spark.read.schema(", ".join(f"`{n}` STRING" for n in [*names, "bad"]))
+    whole = whole.options(header=True, columnNameOfCorruptRecord="bad", columnPruning=False, escape='"', multiLine=True).csv(str(tmp_path))
+    wanted = whole.collect()
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "50", "spark.sql.files.openCostInBytes": "0"}):
+        rows, rejects = (df.collect() for df in read_manifest(spark, str(tmp_path)))
+    texts = ["revision", "nomenclature", "type"]
+    strip = lambda x: (x or "").strip()
+    assert sorted(tuple(strip(r[c]) for c in texts) for r in rows) == sorted(tuple(strip(r[c]) for c in texts) for r in wanted if r.bad is None)
+    assert sorted(r.line for r in rejects) == sorted(r.bad for r in wanted if r.bad is not None)
