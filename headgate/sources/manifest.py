@@ -42,7 +42,7 @@ def read_manifest(spark: SparkSession, path: str, default_zero: bool = False) ->
     # quote inside quotes is doubled, and a backslash is a character.
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE, "escape": '"'}
     cells = F.from_csv("value", schema, options).alias("cells")
-    raw = quoted_records(spark, path).where("number > 1").select("value", cells)
+    raw = quoted_records(spark, path).where("NOT first").select("value", cells)
     typed = []
     for name, dtype, nullable in COLUMNS:
         c = F.col("cells")[name]

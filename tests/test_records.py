@@ -36,13 +36,13 @@ def plain_records(text):
 
 
 def read(spark, path, block):
-    """Records by file name, with the number of blocks that were read."""
+    """Records by file name, in order, each with the mark of the first one."""
     # Blocks of a few bytes: lines and records lie across their ends.
     with settings(spark, {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "0"}):
         rows = quoted_records(spark, path).collect()
     found = {}
-    for r in sorted(rows, key=lambda r: (r.file, r.number)):
-        found.setdefault(r.file.rsplit("/", 1)[1], []).append((r.number, r.value))
+    for r in sorted(rows, key=lambda r: (r.file, r.block, r.at)):
+        found.setdefault(r.file.rsplit("/", 1)[1], []).append((r.first, r.value))
     return found
 
 
@@ -60,7 +60,7 @@ def test_records_do_not_depend_on_blocks(spark, tmp_path, block):
     found = read(spark, str(tmp_path), block)
     for name, text in texts.items():
         wanted = plain_records(text)
-        assert found.get(name, []) == list(enumerate(wanted, 1)), (name, text)
+        assert found.get(name, []) == [(k == 0, v) for k, v in enumerate(wanted)], (name, text)
 
 
 def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
@@ -70,3 +70,12 @@ def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
         tasks = spark.read.text(str(tmp_path / "m.csv")).rdd.getNumPartitions()
     found = read(spark, str(tmp_path / "m.csv"), 4096)["m.csv"]
     assert tasks > 10 and [v for _, v in found] == plain_records(text) and len(found) == 3_000
+
+
+def test_lines_stay_where_no_quote_is_left_open(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n\nh,"x"\n5" bolt,1\n\n"a ""b""",2\n')
+    (tmp_path / "b.csv").write_text("h\n1\n")
+    (tmp_path / "c.csv").write_text("")
+    assert read(spark, str(tmp_path), 3) == {"a.csv": [(True, 'h,"x"'), (False, '5" bolt,1'), (False, '"a ""b""",2')], "b.csv": [(True, "h"), (False, "1")]}
+    plan = quoted_records(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
