@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headgate.catalogue import query
 from headgate.functions.values import exact_sum
 from headgate.operators.scan import union_all
-from headgate.plans.rows import paginate, plan_rows
+from headgate.plans.rows import numbered, paginate
 from headgate.plans.splits import (
     range_splits,
     split_by_hash,
@@ -62,7 +62,7 @@ def _(spark, sd):
 )
 def _(spark, sd):
     orders = full_scan(spark, sd, "orders").select("o_orderkey", "o_orderdate")
-    return plan_rows(orders, ORDER).index(orders)
+    return numbered(orders, ORDER)
 
 
 @query(

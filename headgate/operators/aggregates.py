@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from headgate.functions.values import exact_sum, ntz_micros
 from headgate.operators.scan import union_all
-from headgate.plans.rows import plan_rows
+from headgate.plans.rows import numbered
 
 
 def entity_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -45,9 +45,9 @@ def ordered_text_parts(
     numbered by their position in the order of all groups, which no hot group can make a single
     task of. `group` and `order` together must be unique.
     """
-    numbered = plan_rows(df, [*group, *order]).index(df, "_pos")
+    rows = numbered(df, [*group, *order], "_pos")
     text = F.expr(f"listagg(`{value}`, {_literal(sep)}) WITHIN GROUP (ORDER BY `_pos`)")
-    return numbered.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
+    return rows.groupBy(*group, F.expr(f"_pos div {size}").alias("part")).agg(text.alias(name))
 
 
 def counters(df: DataFrame, labels: list[str], size: Column, failed: Column) -> DataFrame:

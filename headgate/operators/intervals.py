@@ -84,7 +84,7 @@ def interval_join(df: DataFrame, key: str, ranges: DataFrame, lo: str, hi: str)
     held = held.select(column(lo).cast("bigint").alias("_lo"), column(hi).cast("bigint").alias("_hi"), F.struct("*").alias("_range"))
     bounds = reduce(DataFrame.union, [held.select(F.col(c).alias("cut")) for c in ("_lo", "_hi")])
     cuts = save_table(bounds.where("cut IS NOT NULL").distinct(), workspace(spark, "cuts"))
-    plan = plan_rows(cuts, "cut")
+    plan = plan_rows(cuts, "cut", unique=False)
     segments = as_of(df.select(column(key)), key, cuts.withColumn("seg", F.col("cut")), plan, ["seg"])
     segments = segments.where("seg IS NOT NULL").groupBy(F.col("seg").alias("cut")).agg(F.count(F.lit(1)).alias("n"))
     segments = save_table(segments, workspace(spark, "segments"))

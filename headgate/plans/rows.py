@@ -3,13 +3,15 @@
 A bounded sample of keys gives literal cut points, one keys-only pass counts the rows between
 them, and the running totals say at which position each bucket starts. From there
 
-* the position of every row needs one shuffle by bucket (`RowPlan.index`);
+* the position of every row needs one shuffle by bucket (`numbered`, `RowPlan.index`);
 * the key at a given position needs only the bucket that holds it (`RowPlan.keys_at`);
 * a page or a row-number split is a key range (`RowPlan.slice`), which the scan can prune.
 
 The cuts are literals, so a recomputed task puts every row where the first attempt put it.
 The ordering columns together must be unique and non-null; add a tie-breaker when one column
-is not (for files, `_metadata.file_path` and `_metadata.row_index` always serve).
+is not (for files, `_metadata.file_path` and `_metadata.row_index` always serve). Keys that repeat
+are found while the rows between the cuts are counted, or, where every row gets its position
+anyway, while these are sorted: the keys are read twice, for the sample and for the counts.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import types as T
 from headgate.plans.search import (
     count_cuts_at_or_below,
     key_between,
+    key_struct,
     key_text,
     key_types,
     literal_longs,
@@ -46,6 +49,8 @@ class RowPlan:
     cuts: list[tuple[str, ...]]
     starts: list[int]
     total: int
+    #: Whether it is known that no key repeats; if not, `index` finds it out.
+    unique: bool = True
 
     def bucket(self) -> Column:
         return count_cuts_at_or_below(self.keys, self.types, self.cuts)
@@ -53,12 +58,12 @@ class RowPlan:
     def index(self, df: DataFrame, name: str = "row_index") -> DataFrame:
         """`df` with the 0-based position of every row in key order."""
         within = Window.partitionBy("_bucket").orderBy(*self.keys)
-        start = F.get(literal_longs(self.starts), F.col("_bucket"))
-        return (
-            df.withColumn("_bucket", self.bucket())
-            .withColumn(name, start + F.row_number().over(within) - 1)
-            .drop("_bucket")
-        )
+        position = F.get(literal_longs(self.starts), F.col("_bucket")) + F.row_number().over(within) - 1
+        if not self.unique:
+            # Keys that tie are neighbours in the sort that the positions need anyway.
+            tied = F.lag(key_struct(self.keys)).over(within) == key_struct(self.keys)
+            position = F.when(tied, F.raise_error(F.lit(_repeats(self.keys))).cast("bigint")).otherwise(position)
+        return df.withColumn("_bucket", self.bucket()).withColumn(name, position).drop("_bucket")
 
     def _bucket_bounds(self, bucket: int) -> tuple[tuple[str, ...] | None, tuple[str, ...] | None]:
         lo = self.cuts[bucket - 1] if bucket > 0 else None
@@ -101,10 +106,15 @@ def bucket_count(rows: int, parallelism: int) -> int:
     return max(1, min(MAX_BUCKETS, max(by_size, by_cores)))
 
 
-def plan_rows(df: DataFrame, keys: str | list[str], buckets: int | None = None) -> RowPlan:
+def _repeats(keys: list[str]) -> str:
+    return f"{keys} repeats; row positions need a tie-breaker"
+
+
+def plan_rows(df: DataFrame, keys: str | list[str], buckets: int | None = None, unique: bool = True) -> RowPlan:
     """Cut points and bucket positions of `df` in key order.
 
-    The driver receives one key and one count per bucket, whatever the size of the table.
+    The driver receives one key and one count per bucket, whatever the size of the table. Keys that
+    repeat raise; without `unique` the plan is for `index` alone, which raises then.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     types = key_types(df, keys)
@@ -113,18 +123,25 @@ def plan_rows(df: DataFrame, keys: str | list[str], buckets: int | None = None)
     n = bucket_count(total, df.sparkSession.sparkContext.defaultParallelism) if buckets is None else buckets
     cuts = _sample_cuts(narrow, keys, n, total) if 1 < n < total else []
 
-    # Keys-only pass; the rows are counted again so that all positions come from one reading.
+    # The rows are counted again so that all positions come from one reading.
     missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    bucket = count_cuts_at_or_below(keys, types, cuts).alias("b")
-    per_bucket = narrow.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("nulls")).collect()
+    rows = narrow.select(count_cuts_at_or_below(keys, types, cuts).alias("_bucket"), missing.alias("_missing"), *keys)
+    # Over all keys, at every size: among rows that tie no position is the right one.
+    same = rows.groupBy("_bucket", "_missing", *(keys if unique else [])).agg(F.count(F.lit(1)).alias("n"))
+    nulls = F.sum(F.when(F.col("_missing"), F.col("n")))
+    per_bucket = same.groupBy("_bucket").agg(F.sum("n").alias("n"), F.max("n").alias("most"), nulls.alias("nulls")).collect()
     if any(r["nulls"] for r in per_bucket):
         raise ValueError(f"rows without a value in {keys}; row positions need a complete key")
-    # Over all keys, at every size: among rows that tie no position is the right one.
-    if not narrow.groupBy(*keys).count().where(F.col("count") > 1).isEmpty():
-        raise ValueError(f"{keys} repeats; row positions need a tie-breaker")
-    counts = {r["b"]: r["n"] for r in per_bucket}
+    if unique and any(r["most"] > 1 for r in per_bucket):
+        raise ValueError(_repeats(keys))
+    counts = {r["_bucket"]: r["n"] for r in per_bucket}
     sizes = [counts.get(b, 0) for b in range(len(cuts) + 1)]
-    return RowPlan(keys, types, cuts, list(accumulate(sizes, initial=0))[:-1], sum(sizes))
+    return RowPlan(keys, types, cuts, list(accumulate(sizes, initial=0))[:-1], sum(sizes), unique)
+
+
+def numbered(df: DataFrame, keys: str | list[str], name: str = "row_index") -> DataFrame:
+    """`df` with the 0-based position of every row in key order; keys that repeat end the job."""
+    return plan_rows(df, keys, unique=False).index(df, name)
 
 
 def _sample_cuts(narrow: DataFrame, keys: list[str], n: int, total: int) -> list[tuple[str, ...]]:
@@ -143,7 +160,7 @@ def _sample_cuts(narrow: DataFrame, keys: list[str], n: int, total: int) -> list
     ).select("repeats", F.transform("cuts", lambda c: F.struct(*[c[k].cast("string").alias(k) for k in keys])).alias("cuts"))
     row = found.first()
     if row["repeats"]:
-        raise ValueError(f"{keys} repeats; row positions need a tie-breaker")
+        raise ValueError(_repeats(keys))
     return [tuple(c) for c in row["cuts"]]
 
 
@@ -162,5 +179,4 @@ def page(df: DataFrame, keys: str | list[str], offset: str | int | None = None,
 
 def paginate(df: DataFrame, keys: str | list[str], size: int) -> DataFrame:
     """`df` with the page number of every row; the pages in order are one full scan."""
-    numbered = plan_rows(df, keys).index(df, "_pos")
-    return numbered.withColumn("page", F.expr(f"_pos div {size}")).drop("_pos")
+    return numbered(df, keys, "_pos").withColumn("page", F.expr(f"_pos div {size}")).drop("_pos")

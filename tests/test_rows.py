@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from headgate.plans.splits import split_by_rows
 from headgate.operators.incremental import resume
-from headgate.plans.rows import bucket_count, page, paginate, plan_rows
+from headgate.plans.rows import bucket_count, numbered, page, paginate, plan_rows
 
 
 def shuffled(spark, n, step=7919):
@@ -110,3 +110,14 @@ def test_more_splits_than_positions_of_a_job(spark):
     df = spark.range(5_000).select(F.col("id").alias("k"))
     tagged = split_by_rows(df, "k", 2_000).groupBy("split_id").count()
     assert tagged.count() == 2_000 and tagged.agg(F.sum("count")).first()[0] == 5_000
+
+
+def test_ties_are_found_in_the_sort_that_numbers_the_rows(spark):
+    """Also where the sample of keys holds no tie, and with no shuffle but that by bucket."""
+    df = spark.range(60_000).select(F.when(F.col("id") == 59_999, 7).otherwise(F.col("id")).alias("k"))
+    for job in (lambda: paginate(df, "k", 100), lambda: numbered(df, "k")):
+        with pytest.raises(Exception, match="tie-breaker"):
+            job().collect()
+    rows = numbered(spark.range(60_000), "id")
+    assert rows.where("row_index != id").isEmpty() and rows.count() == 60_000
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
