@@ -15,6 +15,11 @@ have different ctx, the common bytes end somewhere among the windows, and the tu
 anew for runs of `RUN` windows and then for single ones. A tuple that is decided goes no further,
 so the deeper levels only see the edges of repeats. A scan holds one tuple, however many are equal.
 
+Tuples of a core meet in one task, but for cores that a sample of documents shows to be frequent: a
+sentence that every page bears has a ctx on every page. Those go by ctx, and as such a task cannot see
+the others' ctx, it takes the core to have several. That is a reason to induce anew, never a
+decision, so the result is the same whichever cores are thought frequent.
+
 Hashes are 64 bits of content. Documents are known by a hash of id and text, so that nothing but
 the document itself has to be kept between the passes.
 """
@@ -36,7 +41,11 @@ GRAM = 24
 RUN = 16
 #: Bytes of a text whose windows are sampled at once.
 SEGMENT = 1 << 20
-TUPLE = "core long, ctx long, uid long, p int, lo int, hi int, multi boolean, done boolean"
+#: Documents sampled, and the share (and least number) of their tuples that makes a core frequent.
+SAMPLE = 8192
+FREQUENT = 1 / 1000
+LEAST = 16
+TUPLE = "spread long, core long, ctx long, uid long, p int, lo int, hi int, multi boolean, done boolean"
 
 
 class Hashes:
@@ -104,20 +113,24 @@ def induced(data: np.ndarray, needs: np.ndarray, hashes: Hashes, length: int, ru
     return core, hashes.mix(of(a, b + length) + hashes.mix(around)), p[each], a, b
 
 
-def _batch(columns: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Tuples of one batch of documents. Of equal ones all but the first are decided here and now."""
+def _batch(columns: list[tuple[np.ndarray, ...]], hot: np.ndarray) -> pa.RecordBatch:
+    """Tuples of one batch of documents. Of equal ones all but the first are decided here and now.
+
+    `spread` tells the task: equal tuples meet, and so do those of one core that is not `hot`.
+    """
     core, ctx, uid, p, lo, hi = (np.concatenate(c) for c in zip(*columns, strict=True))
     order = np.lexsort((ctx, core))
     core, ctx, uid, p, lo, hi = (x[order] for x in (core, ctx, uid, p, lo, hi))
     same = np.concatenate(([False], (core[1:] == core[:-1]) & (ctx[1:] == ctx[:-1])))
     multi = np.concatenate((same[1:], [False])) & ~same
     # Decided ones only travel on: anywhere, not all to the task of their core.
-    core = np.where(same, Hashes.mix(uid.view(np.uint64) + p.astype(np.uint64)), core)
-    numbers = [x.view(np.int64) for x in (core, ctx)] + [uid] + [x.astype(np.int32) for x in (p, lo, hi)]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in [*numbers, multi, same]], ["core", "ctx", "uid", "p", "lo", "hi", "multi", "done"])
+    away = Hashes.mix(uid.view(np.uint64) + p.astype(np.uint64))
+    spread = np.where(same, away, np.where(np.isin(core.view(np.int64), hot), ctx, core))
+    numbers = [x.view(np.int64) for x in (spread, core, ctx)] + [uid] + [x.astype(np.int32) for x in (p, lo, hi)]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in [*numbers, multi, same]], ["spread", "core", "ctx", "uid", "p", "lo", "hi", "multi", "done"])
 
 
-def _sample(length: int, gram: int):
+def _sample(length: int, gram: int, hot: np.ndarray):
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(SEGMENT + length)
         for batch in batches:
@@ -129,15 +142,15 @@ def _sample(length: int, gram: int):
                     found.append((core, ctx, np.full(len(p), uid), p + at, lo + at, hi + at))
                     held += len(p)
                 if held > 1 << 19:
-                    yield _batch(found)
+                    yield _batch(found, hot)
                     found, held = [], 0
             if found:
-                yield _batch(found)
+                yield _batch(found, hot)
 
     return tasks
 
 
-def _induce(length: int, run: int):
+def _induce(length: int, run: int, hot: np.ndarray):
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(2 * length)
         for batch in batches:
@@ -151,19 +164,19 @@ def _induce(length: int, run: int):
                     found.append((core, ctx, np.full(len(p), uid), p, lo, hi))
                     held += len(p)
                     if held > 1 << 19:
-                        yield _batch(found)
+                        yield _batch(found, hot)
                         found, held = [], 0
             if found:
-                yield _batch(found)
+                yield _batch(found, hot)
 
     return tasks
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """`uid, p, lo, hi, need`: windows that repeat, and (need) those that are still to be told.
 
     Tuples come in order of core and ctx. What is carried to the next batch is the last tuple and
-    whether its core has come with another ctx.
+    whether its core has come with another ctx. Other tasks may hold more of a `hot` core.
     """
     names = ("core", "ctx", "uid", "p", "lo", "hi", "multi")
     carry, mixed_before = None, False
@@ -179,7 +192,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = fresh | np.concatenate(([True], ctx[1:] != ctx[:-1]))  # begins a ctx
         kind, group = np.cumsum(head) - 1, np.cumsum(fresh) - 1
         multi = (np.bincount(kind) > 1) | (np.bincount(kind, weights=x["multi"]) > 0)
-        mixed = np.bincount(group[head]) > 1
+        mixed = (np.bincount(group[head]) > 1) | np.isin(core[fresh], hot)
         if mixed_before:
             mixed[0] = True
         ready = head.copy()
@@ -207,9 +220,19 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from told(carry, True)
 
 
-def _told(tuples: DataFrame, name: str) -> DataFrame:
-    ordered = tuples.repartition("core").sortWithinPartitions("core", "ctx")
-    return kept(ordered.mapInArrow(_scan, "uid long, p int, lo int, hi int, need boolean"), name)
+def _frequent(tuples: DataFrame) -> np.ndarray:
+    """Cores that many tuples of a sample bear, sorted; at most 1 / `FREQUENT` of them."""
+    # Equal tuples of a batch are one already; of the others it is the number of ctx that counts.
+    per_core = tuples.where("NOT done").groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST)
+    total = F.lit(FREQUENT) * tuples.where("NOT done").count()
+    return np.array(sorted(r.core for r in per_core.where(F.col("n") > total).collect()), dtype=np.int64)
+
+
+def _told(texts: DataFrame, sample: DataFrame, tasks, name: str) -> DataFrame:
+    """The tuples that `tasks(hot)` cuts from texts, told; a sample of the texts says which cores are hot."""
+    hot = _frequent(sample.mapInArrow(tasks(np.empty(0, np.int64)), TUPLE))
+    ordered = texts.mapInArrow(tasks(hot), TUPLE).repartition("spread").sortWithinPartitions("core", "ctx")
+    return kept(ordered.mapInArrow(lambda batches: _scan(batches, hot), "uid long, p int, lo int, hi int, need boolean"), name)
 
 
 def _kept_bytes(length: int, kind: str):
@@ -237,19 +260,21 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, r
 
     `texts` has `uid, text`. Rows of one uid are taken to be copies of one text.
     """
-    told = [_told(texts.mapInArrow(_sample(length, gram), TUPLE), "op10-sampled")]
+    share = min(1.0, SAMPLE / max(texts.count(), 1))
+    some = kept(texts.sample(share, seed=10), "op10-texts")
+    told = [_told(texts, some, lambda hot: _sample(length, gram, hot), "op10-sampled")]
     for k, size in enumerate((run, 1)):
         places = F.collect_list(F.struct("p", "lo", "hi")).alias("needs")
         needs = told[-1].where("need").distinct().groupBy("uid").agg(places)
-        open_ = texts.join(needs, "uid").select("uid", "text", "needs")
-        told.append(_told(open_.mapInArrow(_induce(length, size), TUPLE), f"op10-induced{k}"))
+        all_, few = (t.join(needs, "uid").select("uid", "text", "needs") for t in (texts, some))
+        told.append(_told(all_, few, lambda hot, size=size: _induce(length, size, hot), f"op10-induced{k}"))
     found = told[0]
     for more in told[1:]:
         found = found.union(more)
     # At the last level a tuple is one window: core and ctx say the same.
     spans = found.where("NOT need").groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     spans = kept(spans, "op10-spans")
-    for table in told:
+    for table in [*told, some]:
         dropped(table)
     return spans
 

@@ -146,6 +146,43 @@ def test_repeats_are_those_of_all_windows(spark, odd_documents):
     assert got == Counter(without([(r.text or "").encode() for r in odd.collect()], 200))
 
 
+@pytest.mark.parametrize("least", [2, 10**9])
+def test_repeats_whichever_cores_are_frequent(spark, monkeypatch, least):
+    """Sentences on every page, short of a window and beyond one, with all cores spread and with none."""
+    from headgate.llm import repeats
+
+    monkeypatch.setattr(repeats, "LEAST", least)
+    monkeypatch.setattr(repeats, "FREQUENT", 0)
+    rng = random.Random(8)
+    notices = ["".join(rng.choice("abcdefgh ") for _ in range(size)) for size in (100, 208, 260)]
+    texts = []
+    for _ in range(120):
+        own = ["".join(rng.choice("xyzw ") for _ in range(rng.randrange(120, 300))) for _ in range(3)]
+        texts.append("".join(own[k] + (notices[k] if rng.random() < 0.9 else "") for k in range(3)))
+    texts += texts[:3]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in without_repeats(documents).collect())
+    assert got == Counter(without([t.encode() for t in texts], 200))
+
+
+def test_a_frequent_core_is_dealt_to_many_tasks(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from headgate.llm import repeats
+
+    rng = random.Random(9)
+    notice = "we use cookies to keep this page as good as it is, read on to learn how you may change that at any time"
+    texts = ["".join(rng.choice("xyzw ") for _ in range(300)) + notice + "".join(rng.choice("xyzw ") for _ in range(300)) for _ in range(400)]
+    named = spark.createDataFrame(list(enumerate(texts)), "uid long, text string").repartition(8)
+    plain = named.mapInArrow(repeats._sample(200, 24, np.empty(0, np.int64)), repeats.TUPLE)
+    hot = repeats._frequent(plain)
+    assert 1 <= len(hot) <= 1000
+    spread = named.mapInArrow(repeats._sample(200, 24, hot), repeats.TUPLE).where(F.col("core").isin(hot.tolist()))
+    per_task = spread.repartition(8, "spread").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 2 * sum(r["count"] for r in per_task) / 8
+
+
 KINDS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
