@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from headgate.functions.names import unused
+from headgate.functions.names import column, unused
 from headgate.plans.search import literal_longs
 from headgate.session import save_table, workspace
 
@@ -47,26 +47,55 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     )
 
 
+def _in_parts(batch: DataFrame, records: int) -> tuple[DataFrame, str, int]:
+    """The rows of a batch, written once, with the number of their part as a last column, its name, and how many parts there are.
+
+    All parts but the last have exactly `records` rows. The rows stay where they are written, so that
+    reading them again gives the same parts. The driver learns the rows of every partition, not the rows.
+    """
+    spark, part = batch.sparkSession, unused(batch, "_part")
+    held = save_table(batch.withColumn(part, F.monotonically_increasing_id()), workspace(spark, "records"))
+    task = F.shiftright(part, 33).cast("int")
+    sizes = {r["t"]: r["n"] for r in held.groupBy(task.alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts = list(accumulate((sizes.get(t, 0) for t in range(max(sizes, default=0) + 1)), initial=0))
+    at = F.get(literal_longs(starts), task) + F.col(part).bitwiseAND((1 << 33) - 1)
+    return held.withColumn(part, F.floor(at / records)), part, -(-starts[-1] // records)
+
+
+def for_all_records(stream: DataFrame, fn: Callable[[DataFrame, int, str], None], records: int, checkpoint: str) -> StreamingQuery:
+    """Hand everything available to user code in parts of at most `records` rows, as `fn(rows, batch_id, part)`, once for a batch.
+
+    `part` is the column with the number of a row's part. What `fn` does by part (an aggregation,
+    `applyInPandas`) is done on the executors, by as many tasks as there are: a batch costs its rows,
+    however many parts they make.
+    """
+    if records < 1:
+        raise ValueError("a batch needs at least one record")
+
+    def parts(batch: DataFrame, batch_id: int) -> None:
+        rows, part, _ = _in_parts(batch, records)
+        fn(rows, batch_id, part)
+
+    return for_each_batch(stream, parts, checkpoint)
+
+
 def for_each_records(stream: DataFrame, fn: Callable[[DataFrame, int, int], None], records: int, checkpoint: str) -> StreamingQuery:
     """Hand everything available to user code in batches of at most `records` rows, as `fn(rows, batch_id, part)`.
 
     All parts of a batch but the last have exactly so many rows. A batch is written once, by part, and
     each part read back, so that a repeated batch has the same parts, and a part never holds more
-    than it should. The driver learns the rows of every partition, not the rows.
+    than it should. Every part is a call on the driver with jobs of its own, one after another: where
+    parts are many, `for_all_records` does them together.
     """
     if records < 1:
         raise ValueError("a batch needs at least one record")
 
     def parts(batch: DataFrame, batch_id: int) -> None:
-        spark, part = batch.sparkSession, unused(batch, "_part")
-        held = save_table(batch.withColumn(part, F.monotonically_increasing_id()), workspace(spark, "records"))
-        task = F.shiftright(part, 33).cast("int")
-        sizes = {r["t"]: r["n"] for r in held.groupBy(task.alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        starts = list(accumulate((sizes.get(t, 0) for t in range(max(sizes, default=0) + 1)), initial=0))
-        at = F.get(literal_longs(starts), task) + F.col(part).bitwiseAND((1 << 33) - 1)
+        spark = batch.sparkSession
+        rows, part, count = _in_parts(batch, records)
         path = workspace(spark, "parts")
-        held.withColumn(part, F.floor(at / records)).write.partitionBy(part).parquet(path)
-        for number in range(-(-starts[-1] // records)):
+        rows.write.partitionBy(part).parquet(path)
+        for number in range(count):
             fn(spark.read.schema(batch.schema).parquet(f"{path}/{part}={number}"), batch_id, number)
 
     return for_each_batch(stream, parts, checkpoint)
@@ -98,11 +127,15 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
     return df.mapInPandas(run, schema)
 
 
-def state_writer(path: str, ts: str) -> Callable[[DataFrame, int], None]:
-    """Per batch one state row: records and watermark. A repeated batch replaces its own row."""
+def state_writer(path: str, ts: str) -> Callable[..., None]:
+    """Per batch one state row: records and watermark; one for every part where `part` names a column of parts.
+
+    A repeated batch replaces its own rows.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        state = batch.agg(F.count(F.lit(1)).alias("records"), F.max(ts).alias("watermark"))
+    def write(batch: DataFrame, batch_id: int, part: str | None = None) -> None:
+        by = [column(part).alias("part")] if part else []
+        state = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), F.max(ts).alias("watermark"))
         state.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write

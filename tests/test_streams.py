@@ -3,12 +3,15 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from headgate import catalogue
+from headgate.catalogue import streams
 from headgate.operators.envelope import extract
 from headgate.session import settings, workspace
 from headgate.streaming import upserts
 from headgate.streaming.delivery import STATE_SETTINGS, deliver_once
 from headgate.streaming.extract import (
     extract_stream,
+    for_all_records,
     for_each_batch,
     for_each_records,
     map_batches,
@@ -59,6 +62,38 @@ def test_batches_hold_a_bounded_number_of_records(spark):
         for_each_records(stream_table(spark, f"{base}/in"), take, 0, f"{base}/other")
 
 
+def test_states_of_many_bounded_batches_are_written_at_once(spark, sd, monkeypatch):
+    calls, real = [], streams.state_writer
+
+    def counted(path, ts):
+        write = real(path, ts)
+        return lambda *args: (calls.append(args[1]), write(*args))
+
+    monkeypatch.setattr(streams, "RECORDS", 7)
+    monkeypatch.setattr(streams, "state_writer", counted)
+    rows = spark.read.parquet(f"{sd}/events.parquet").count()
+    assert tuple(catalogue.QUERIES["t2_bounded_records"](spark, sd).first()) == (-(-rows // 7), 7, rows)
+    assert len(calls) == 1  # not one for each of the parts
+
+
+def test_parts_of_a_batch_as_a_column(spark):
+    base, seen = workspace(spark, "t"), []
+    numbered(spark, 0, 95).withColumn("_part", F.lit("own")).repartition(4).write.parquet(f"{base}/in")
+
+    def take(rows, batch_id, part):
+        assert rows.columns == ["id", "k", "ts", "_part", part]
+        seen.append([(r[part], r.id) for r in rows.collect()])
+        assert sorted(seen[-1]) == sorted((r[part], r.id) for r in rows.collect())
+
+    for_all_records(stream_table(spark, f"{base}/in", files_per_batch=3), take, 10, f"{base}/position").awaitTermination()
+    assert sorted(i for rows in seen for _, i in rows) == list(range(95)) and len(seen) == 2
+    for rows in seen:
+        sizes = [sum(p == n for p, _ in rows) for n in range(-(-len(rows) // 10))]
+        assert sum(sizes) == len(rows) and sizes[:-1] == [10] * (len(sizes) - 1)
+    with pytest.raises(ValueError, match="at least one"):
+        for_all_records(stream_table(spark, f"{base}/in"), take, 0, f"{base}/other")
+
+
 def test_callbacks_over_a_number_of_records(spark):
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
         rows = spark.range(0, 103, 1, 2).select("id")
