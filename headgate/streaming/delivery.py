@@ -7,7 +7,7 @@ however many batches were before. A key is never forgotten, so no row is left ou
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headgate.functions.names import column
@@ -18,6 +18,9 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+#: State partitions that also a small cluster has: keys are on disk, so a partition may hold millions.
+LEAST_PARTITIONS = 12
 
 
 def first_deliveries(stream: DataFrame, key: str) -> DataFrame:
@@ -29,13 +32,22 @@ def first_deliveries(stream: DataFrame, key: str) -> DataFrame:
     return keyed.dropDuplicates([key]).union(others)
 
 
-def deliver_once(stream: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
+def state_partitions(spark: SparkSession) -> int:
+    """As many state partitions as tasks run at a time, at least `LEAST_PARTITIONS`; no more than shuffles have.
+
+    Every batch opens and commits every state partition, so their number must not grow with the table.
+    """
+    return min(int(spark.conf.get(SHUFFLE_PARTITIONS)), max(LEAST_PARTITIONS, spark.sparkContext.defaultParallelism))
+
+
+def deliver_once(stream: DataFrame, key: str, path: str, checkpoint: str, partitions: int | None = None) -> StreamingQuery:
     """Write the first delivery of every key to parquet files at `path`, exactly once.
 
-    The number of state partitions is that of `spark.sql.shuffle.partitions` when the checkpoint is
-    new; a later run goes on with the keys that the checkpoint holds.
+    The number of state partitions is `partitions`, or that of `state_partitions`, when the checkpoint
+    is new; a later run goes on with the keys and the partitions that the checkpoint holds.
     """
-    with settings(stream.sparkSession, STATE_SETTINGS):
+    spark = stream.sparkSession
+    with settings(spark, STATE_SETTINGS | {SHUFFLE_PARTITIONS: str(partitions or state_partitions(spark))}):
         return (
             first_deliveries(stream, key)
             .writeStream.format("parquet")

@@ -200,6 +200,20 @@ def test_state_holds_each_key_once_over_many_batches(spark):
     assert sum(written) == 55  # a batch adds its own new keys, not those of earlier batches
 
 
+def test_state_partitions_do_not_grow_with_shuffles(spark):
+    base = workspace(spark, "t")
+    numbered(spark, 0, 60).write.parquet(f"{base}/in")
+    used = []
+    with settings(spark, {"spark.sql.shuffle.partitions": "60"}):
+        for name, more in [("a", {}), ("b", {"partitions": 3})]:
+            query = deliver_once(stream_table(spark, f"{base}/in"), "id", f"{base}/{name}", f"{base}/at-{name}", **more)
+            query.awaitTermination()
+            used.append(query.lastProgress.stateOperators[0].numShufflePartitions)
+            assert sorted(r.id for r in spark.read.parquet(f"{base}/{name}").collect()) == list(range(60))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "60"
+    assert used == [12, 3]
+
+
 def test_an_error_in_a_callback_stops_the_read(spark):
     base = workspace(spark, "t")
     numbered(spark, 0, 10).write.parquet(f"{base}/in")
