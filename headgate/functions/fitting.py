@@ -67,6 +67,21 @@ def text_as(c: Column, to: str) -> Column:
 # Fixed value: what the text of an array is made of: braces, commas, quoted and plain elements.
 ARRAY_TOKEN = r'[{},]|"(?:[^"\\]|\\.)*"|[^{},"]+'
 
+# Short texts that need no look at single tokens (no brace in quotes, a backslash only in
+# quotes and only before a quote or a backslash), their quoted elements and NULLs, and all their elements.
+QUOTED = r'[^"\\{}\x00]*+(?:\\["\\][^"\\{}\x00]*+)*+'
+PLAIN_ARRAY = rf'^\{{(?:[{{}},]|"{QUOTED}"|[^{{}},"\\\x00]++)*+$'
+MARKED = rf'("{QUOTED}")|(?<![^{{}},"]) *+(?i:null) *+(?![^{{}},"])'
+ELEMENT = rf'"({QUOTED})"\x00|([^{{}},"\x00 ](?:[^{{}},"\x00]*[^{{}},"\x00 ])?)'
+#: Java's patterns repeat groups on the stack, so longer texts go by tokens.
+SHORT_ARRAY = 1_000
+
+
+def _plain_array_json(c: Column) -> Column:
+    """JSON of a text that `PLAIN_ARRAY` matches: a NUL marks quoted elements and stands for NULL."""
+    marked = F.regexp_replace(c, F.lit(MARKED), F.lit("$1\0"))
+    return replaced(F.regexp_replace(marked, F.lit(ELEMENT), F.lit('"$1$2"')), ("\0", "null"), ("{", "["), ("}", "]"))
+
 
 def _json_text(text: Column) -> Column:
     return F.concat(F.lit('"'), replaced(text, ("\\", "\\\\"), ('"', '\\"')), F.lit('"'))
@@ -93,7 +108,9 @@ def array_text_as(c: Column, to: str) -> Column:
     texts = "array<" * depth + "string" + ">" * depth
     # Every character belongs to a token, else the text is no array.
     whole = (F.array_join(tokens, "") == c) & c.rlike(r"(?s)^\s*\{.*\}\s*$")
-    parsed = F.from_json(F.when(whole, F.array_join(F.transform(tokens, json), "")), texts, {"allowUnquotedControlChars": "true"})
+    plain = (F.length(c) <= SHORT_ARRAY) & c.rlike(PLAIN_ARRAY) & c.endswith("}")
+    body = F.when(plain, _plain_array_json(c)).when(whole, F.array_join(F.transform(tokens, json), ""))
+    parsed = F.from_json(body, texts, {"allowUnquotedControlChars": "true"})
 
     def fit(value: Column, level: int) -> Column:
         return F.transform(value, lambda x: fit(x, level - 1)) if level else text_as(value, element) if element != "string" else value

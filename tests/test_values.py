@@ -1,11 +1,13 @@
 import datetime as dt
 import math
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headgate.functions import fitting
 from headgate.functions import values as V
 from headgate.functions.fitting import fitted, has_cast, json_value_as, text_as
 from headgate.functions.typenames import (
@@ -301,6 +303,17 @@ def test_array_texts(spark):
         assert apply_schema(df, {"v": name}, source_field_type).first()[0] == want, text
 
 
+def test_plain_array_texts_are_read_as_by_tokens(spark, monkeypatch):
+    some, pieces = random.Random(5), ["{", "}", ",", '"', "a b", " ", "NULL", "null ", "nullx", "\\", '\\"', '"x, y"', '"NULL"', '"{"', "[", "é", "\t", "7", '"\\q"', "$1"]
+    texts = ["{" + ",".join(some.choices(["1", '"a, \\"b\\""', "NULL", " c d ", '"NULL"', "{x}", '"\\\\"', ""], k=some.randrange(5))) + "}" for _ in range(300)]
+    texts += ["{" + "".join(some.choices(pieces, k=some.randrange(7))) + "}" for _ in range(700)] + ["{" + "x," * 600 + "y}", "{\0}"]
+    df = spark.createDataFrame([(t,) for t in texts], "v STRING")
+    assert df.where((F.length("v") <= fitting.SHORT_ARRAY) & F.col("v").rlike(fitting.PLAIN_ARRAY)).count() > 300
+    got = [[r[0] for r in apply_schema(df, {"v": name}, source_field_type).collect()] for name in ("text[]", "text[][]", "integer[]")]
+    monkeypatch.setattr(fitting, "SHORT_ARRAY", -1)
+    assert got == [[r[0] for r in apply_schema(df, {"v": name}, source_field_type).collect()] for name in ("text[]", "text[][]", "integer[]")]
+
+
 def test_parameterised_numbers_lose_nothing(spark):
     digits = "123456789012345678901234567890"
     df = spark.createDataFrame([(digits, "1234567.1234567890123", "9" * 60)], "a STRING, b STRING, c STRING")
