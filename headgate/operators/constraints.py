@@ -196,8 +196,14 @@ def relationship_edges(relations: list[Relation]) -> DataFrame:
     """`(src_entity, src_key, dst_entity, dst_key)` of all relations; rows with a null in a key have no edge."""
     parts = []
     for r in relations:
-        pairs = r.table.select(node_key(r.src_key).alias("s"), node_key(r.dst_key).alias("d")).dropna()
-        pairs = pairs.distinct() if r.link else pairs
+        texts = [node_key(r.src_key).alias("s"), node_key(r.dst_key).alias("d")]
+        keys = [k for key in (r.src_key, r.dst_key) for k in ([key] if isinstance(key, str) else key)]
+        table = r.table.select(*[column(k) for k in dict.fromkeys(keys)])
+        # Whole numbers have one text each, so they are made distinct before they become texts.
+        whole = r.link and all(isinstance(f.dataType, T.IntegralType) for f in table.schema.fields)
+        table = table.distinct() if whole else table
+        pairs = table.select(*texts).dropna()
+        pairs = pairs.distinct() if r.link and not whole else pairs
         parts.append(
             pairs.select(
                 F.lit(r.src_entity).alias("src_entity"),

@@ -235,3 +235,14 @@ def test_text_parts_of_a_hot_group_are_its_whole_text(spark):
     assert max(len(r.t.split(",")) for r in parts) <= 100
     hot = ",".join(r.t for r in sorted(parts, key=lambda r: r.part) if r.g == "hot")
     assert hot == ",".join(str(i) for i in range(0, 5000, 3))
+
+
+def test_numbers_of_a_link_are_made_distinct_before_they_are_text(spark):
+    link = spark.createDataFrame([(1, 2), (1, 2), (None, 2), (2, 1), (12, 1), (1, 21)], "a BIGINT, b INT")
+    edges = relationship_edges([Relation("s", "d", link, "a", "b", link=True)])
+    assert sorted((r.src_key, r.dst_key) for r in edges.collect()) == [("1", "2"), ("1", "21"), ("12", "1"), ("2", "1")]
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in plan.splitlines() if "Aggregate" in line)
+    assert "Aggregate [a#" in grouped and "b#" in grouped.split("]")[0]  # by the numbers, not their texts
+    same = relationship_edges([Relation("s", "d", link.selectExpr("a AS A", "CAST(b AS DOUBLE) AS b"), "a", "b", link=True)])
+    assert same.count() == 4 and relationship_edges([Relation("s", "d", link, "a", "a", link=True)]).count() == 3
